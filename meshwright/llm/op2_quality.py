@@ -21,6 +21,8 @@ BUCKETS, FACTORS = 1 << 15, 8
 #: The fit uses at most so many labelled rows: those with the smallest hash of their id.
 SAMPLE = 6000
 FOLDS, HELD_OUT = 5, 0
+#: Documents that score less are rejected.
+THRESHOLD = 0.3
 #: Statistics are one-hot in a range of their own behind the word buckets.
 STATS, BINS = 14, 24
 SIZE = BUCKETS + STATS * BINS
@@ -148,26 +150,33 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Factorisati
     return FactorisationMachine().fit(rows, np.array(y, np.float32))
 
 
-def score(docs: DataFrame, model: FactorisationMachine, threshold: float = 0.3) -> DataFrame:
-    """One row per document: doc_id, held_out, score, predicted.
-
-    Null text counts as empty, null n_chars as unknown; a null id has held_out null; repeated rows are scored as
-    often as they occur; an empty table gives no rows; other columns are ignored. Without labels every score is that of the prior.
-    """
+def scorer(model: FactorisationMachine):
+    """The model as a column function of (text, n_chars); null text counts as empty."""
 
     def run(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
         make = Features()
         for texts, chars in batches:
             yield pd.Series([model.score(*make(t, c)) for t, c in zip(texts, chars)], dtype="float64")
 
-    def typed(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
-        return run(batches)
+    return F.pandas_udf(run, "double", F.PandasUDFType.SCALAR_ITER)
+
 
-    udf = F.pandas_udf(typed, "double", F.PandasUDFType.SCALAR_ITER)
-    got = inputs(docs).select("doc_id", udf("text", "n_chars").alias("score"))
+def score(docs: DataFrame, model: FactorisationMachine, threshold: float = THRESHOLD) -> DataFrame:
+    """One row per document: doc_id, held_out, score, predicted.
+
+    Null text counts as empty, null n_chars as unknown; a null id has held_out null; repeated rows are scored as
+    often as they occur; an empty table gives no rows; other columns are ignored. Without labels every score is that of the prior.
+    """
+    got = inputs(docs).select("doc_id", scorer(model)("text", "n_chars").alias("score"))
     return got.select("doc_id", (held_out_fold("doc_id", FOLDS) == HELD_OUT).alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
 
 
+def keep(docs: DataFrame, model: FactorisationMachine, threshold: float = THRESHOLD) -> DataFrame:
+    """The rows of ``docs`` that the model doesn't reject, with all their columns."""
+    chars = F.col("n_chars").cast("long") if "n_chars" in docs.columns else F.lit(None).cast("long")
+    return docs.where(scorer(model)(F.coalesce(F.col("text").cast("string"), F.lit("")), chars) >= threshold)
+
+
 def op2_quality_fm(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return score(docs, fit(docs, table(spark, sf_dir, "labels")))

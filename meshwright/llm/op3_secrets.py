@@ -79,13 +79,13 @@ def joined(spans: Column) -> Column:
     return F.array_join(F.transform(spans, lambda x: F.concat_ws(":", x["k"], x["s"].cast("string"), x["e"].cast("string"))), ",")
 
 
-def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep_text: bool = False, classes=CLASSES, allow=ALLOW) -> DataFrame:
-    """One row per document: doc_id, base (array of spans), added (array of spans), spans (both, in order).
+def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", carry: tuple[str, ...] = (), keep_text: bool = False, classes=CLASSES, allow=ALLOW) -> DataFrame:
+    """One row per document: doc_id, the columns named in ``carry`` (and the text on demand), base (array of spans), added (array of spans), spans (both, in order).
 
     Null or empty text has no spans; a null id stays null; repeated rows are scanned as often as they occur;
     an empty table gives no rows; other columns are ignored.
     """
-    df = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
+    df = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"), *[F.col(c).alias(f"_carry{i}") for i, c in enumerate(carry)])
     text = F.col("text")
     df = df.withColumns({"a": matches(text, ASSIGN, "assign", 2, 6), "b": matches(text, ACCESS, "access"), "c": matches(text, HEX, "hex"), **{f"w{i}": matches(text, c[1], c[0]) for i, c in enumerate(classes)}})
     order = {"assign": 0, "access": 1, "hex": 2} | {c[0]: 3 + i for i, c in enumerate(classes)}
@@ -105,7 +105,7 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep_t
 
     kept = [chosen(i, *c[2:]) for i, c in enumerate(classes)]
     df = df.withColumn("added", ranked(F.concat(*kept)))
-    return df.select("doc_id", *["text"] * keep_text, "base", "added", ranked(F.concat("base", "added")).alias("spans"))
+    return df.select("doc_id", *["text"] * keep_text, *[F.col(f"_carry{i}").alias(c) for i, c in enumerate(carry)], "base", "added", ranked(F.concat("base", "added")).alias("spans"))
 
 
 def redact(text: Column, spans: Column) -> Column:
