@@ -4,8 +4,9 @@ A 64-bit fingerprint is cut into segments of 22, 21 and 21 bits, each padded wit
 the perfect Golay code (23 bits, distance 7). With at most 4 differing bits, some pair of segments
 differs in at most 2 bits together, so one of these holds for that pair (i, j):
 
-* one bit at most differs in each: y's codeword index of i is among the indices of x's words within one
-  flip, and x's index of j among those of y. Rows (index of i, flips of j) meet rows (flips of i, index of j).
+* one bit at most differs in each: x's codeword index of i is among the indices of y's words within one
+  flip, and y's index of j among those of x. Rows (index of i, flips of j) meet rows (flips of i, index of j). Two
+  indices are only 24 bits; as one half of i has no error, its bits make the key selective (a row for each half).
 * i is equal and j differs in two bits: the words between them decode alike, so rows (i's bits, flips of j)
   of both meet; and the same with i and j exchanged.
 
@@ -107,7 +108,9 @@ def bucket_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         home, near = [decode(s) for s in seg], [flips(s) for s in seg]
         for p, (i, j) in enumerate(((0, 1), (0, 2), (1, 2))):
             (ri, ki), (rj, kj) = near[i], near[j]
-            cases = [(4 * p, (home[i][rj] << 12) | kj, 0, rj), (4 * p, (ki << 12) | home[j][ri], 1, ri), (4 * p + 1, (seg[i][rj] << 12) | kj, 2, rj), (4 * p + 2, (seg[j][ri] << 12) | ki, 2, ri)]
+            cases = [(4 * p, (seg[i][rj] << 12) | kj, 2, rj), (4 * p + 1, (seg[j][ri] << 12) | ki, 2, ri)]
+            for half, bits in enumerate((seg[i] & 0x7FF, seg[i] >> 11)):
+                cases += [(4 * p + 2 + half, (bits[rj] << 24) | (home[i][rj] << 12) | kj, 0, rj), (4 * p + 2 + half, (bits[ri] << 24) | (ki << 12) | home[j][ri], 1, ri)]
             for kind, key, side, row in cases:
                 yield pd.DataFrame({"key": (np.int64(kind) << 40) | key, "side": np.full(len(key), side, np.int8), "fp": fp[row]})
 
