@@ -29,6 +29,8 @@ WORDS, DISTANCE, SEED = 4, 4, 42
 SEGMENTS = ((0, 22), (22, 21), (43, 21))
 #: Rows of a bucket that one task compares with as many others.
 BUCKET = 2048
+#: Fingerprints whose bucket rows one task makes.
+DEALT = 16384
 _POLY = 0xC75  # fixed value: generator polynomial of the binary Golay code
 
 
@@ -174,7 +176,8 @@ def links(fps: DataFrame, distance: int = DISTANCE) -> DataFrame:
     """
     if not 0 <= distance <= 4:
         raise ValueError("the keys find up to 4 differing bits")
-    rows = fps.select("fp").mapInPandas(bucket_rows, "key long, side byte, fp long")
+    # a fingerprint becomes about a hundred rows, so the few bytes of ``fps`` are dealt to more tasks than their size asks for
+    rows = fps.select("fp").repartition(max(1, -(-fps.count() // DEALT)), "fp").mapInPandas(bucket_rows, "key long, side byte, fp long")
     sizes = rows.groupBy("key").agg(F.count("*").alias("n"), F.max("side").alias("hi"), F.min("side").alias("lo"), F.min("fp").alias("a"), F.max("fp").alias("b"))
     sizes = sizes.where("a <> b and (hi = 2 or lo < hi)").select("key", F.ceil(F.col("n") / BUCKET).cast("int").alias("blocks"))
     block = F.pmod(F.xxhash64("fp"), F.col("blocks")).cast("int")
