@@ -88,9 +88,9 @@ class EditDistance(Matcher):
         a, b = _sides(source, target)
         grams = lambda c: F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(F.lit(1), F.length(c) - 2)), lambda i: F.substr(c, i, F.lit(3))))
         left, right = a.withColumn("g", F.explode(grams(F.col("a")))), b.withColumn("g", F.explode(grams(F.col("b"))))
-        close = F.abs(F.length("a") - F.length("b")) <= (1 - self.threshold) * F.greatest(F.length("a"), F.length("b"))
+        close = F.abs(F.length("a") - F.length("b")) <= (1 - self.threshold) * F.greatest(F.length("a"), F.length("b")) + 1e-9
         cand = left.join(right, ["kind", "g"]).where(close).select("subject_id", "object_id", "a", "b").distinct()
-        pairs = cand.withColumn("score", 1 - F.levenshtein("a", "b") / F.greatest(F.length("a"), F.length("b"))).where(F.col("score") >= self.threshold)
+        pairs = cand.withColumn("score", 1 - F.levenshtein("a", "b") / F.greatest(F.length("a"), F.length("b"))).where(F.col("score") >= self.threshold - 1e-9)
         return self.rows(pairs, F.when(F.col("score") >= 1.0, "skos:exactMatch").otherwise("skos:closeMatch"), "edit distance")
 
 
