@@ -168,6 +168,8 @@ def orchestrate(spark: SparkSession, manifest_path: str, workdir: str, resume: b
                 ready = list(pool.map(ingest, enabled))
         else:
             ready = [ingest(s) for s in enabled]
+        order = [s.id for s in enabled]
+        out.errors.sort(key=lambda e: order.index(e["source"]) if e["source"] in order else len(order))
         graphs, mapped = [], []
         for s, g in [r for r in ready if r]:
             out.converted[s.id] = at("converted", s.id, "triples.parquet")
