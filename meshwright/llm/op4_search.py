@@ -5,7 +5,7 @@ document, written to the shared folder. Global statistics (documents, mean lengt
 from the shards, so their scores agree and the merge of their best rows is exact. Queries go in blocks of bounded size.
 
 Within a shard, documents form ranges of BLOCK consecutive ones. The block maxima of a query's terms are summed by range; ranges are pivots in
-order of that bound, scored in full a few at a time, until no bound reaches the k-th best score so far.
+order of that bound, scored in full a few at a time, until no bound reaches the k-th best score known. A task carries that score from shard to shard.
 """
 
 from __future__ import annotations
@@ -23,6 +23,10 @@ from meshwright.llm.common import table, written
 
 K1, B, TOP = 1.2, 0.75, 10
 BLOCK = 64
+#: A term in at least one of so many documents of a shard is held as a column.
+DENSE = 16
+#: Bounds and scores are summed in different orders.
+SLACK = 1e-7
 #: A shard is closed at so many documents or postings.
 SHARD_DOCS, SHARD_POSTINGS = 4096, 1_000_000
 #: Queries that are searched at once, on average: what a pass broadcasts is bounded.
@@ -41,7 +45,7 @@ class Terms:
 
         counts = Counter(text.lower().split())
         known = self.known
-        if len(known) > 300_000:
+        if len(known) > 100_000:
             known.clear()
         terms = np.empty(len(counts), np.int64)
         for i, w in enumerate(counts):
@@ -55,7 +59,10 @@ class Terms:
 def build(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     make, ids, terms, tfs = Terms(), [], [], []
 
-    def close() -> pd.DataFrame:
+    def close(ids: list, terms: list, tfs: list) -> pd.DataFrame:
+        # documents that are alike (by their commonest word, then by length) share ranges, whose bounds are then closer
+        like = sorted(range(len(ids)), key=lambda i: (int(terms[i][tfs[i].argmax()]) if len(tfs[i]) else 0, int(tfs[i].sum()), ids[i]))
+        ids, terms, tfs = [ids[i] for i in like], [terms[i] for i in like], [tfs[i] for i in like]
         length = np.array([int(t.sum()) for t in tfs], np.int64)
         term, tf = np.concatenate(terms), np.concatenate(tfs)
         doc = np.repeat(np.arange(len(ids), dtype=np.int32), [len(t) for t in terms])
@@ -74,65 +81,99 @@ def build(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             tfs.append(n)
             held += len(t)
             if len(ids) >= SHARD_DOCS or held >= SHARD_POSTINGS:
-                yield close()
+                yield close(ids, terms, tfs)
                 ids, terms, tfs, held = [], [], [], 0
     if ids:
-        yield close()
+        yield close(ids, terms, tfs)
 
 
 class Shard:
-    def __init__(self, row, mean_length: float):
+    """An index shard opened for a block of queries over the sorted terms ``asked``.
+
+    Terms in at least one of DENSE documents are kept as columns of gains, so that their bounds of all queries are one
+    matrix product and their scores in a range another; the postings of the others stay sparse.
+    """
+
+    def __init__(self, row, mean_length: float, asked: np.ndarray):
         read = lambda c, kind: np.frombuffer(row[c], kind)
-        self.ids, self.terms, self.first, self.doc = read("ids", np.int64), read("terms", np.int64), read("first", np.int32), read("doc", np.int32)
+        self.ids, terms, first, doc, tf = read("ids", np.int64), read("terms", np.int64), read("first", np.int32), read("doc", np.int32), read("tf", np.int32)
         norm = K1 * (1 - B + B * read("lengths", np.int64) / max(mean_length, 1e-9))
-        tf = read("tf", np.int32)
-        self.gain = tf * (K1 + 1) / (tf + norm[self.doc])
         self.ranges = -(-len(self.ids) // BLOCK)
-        # block maxima: runs of one term in one range of documents
-        term_no = np.repeat(np.arange(len(self.terms)), np.diff(self.first))
-        run = term_no * np.int64(self.ranges) + self.doc // BLOCK
+        at = np.minimum(np.searchsorted(terms, asked), max(0, len(terms) - 1))
+        here = np.flatnonzero(terms[at] == asked) if len(terms) else np.empty(0, np.int64)
+        start, end = first[at[here]].astype(np.int64), first[at[here] + 1].astype(np.int64)
+        often = (end - start) * DENSE >= len(self.ids)
+        gain = lambda posts: tf[posts] * (K1 + 1) / (tf[posts] + norm[doc[posts]])
+        # columns of frequent terms, and their maxima by range
+        self.dense = here[often]
+        posts = spans(start[often], end[often])
+        self.column = np.zeros((self.ranges * BLOCK, len(self.dense)))
+        self.column[doc[posts], np.repeat(np.arange(len(self.dense)), (end - start)[often])] = gain(posts)
+        self.column_max = self.column.reshape(self.ranges, BLOCK, len(self.dense)).max(1)
+        # postings of the others, and their maxima by run of one term in one range
+        posts = spans(start[~often], end[~often])
+        self.gain, self.doc = gain(posts), doc[posts].astype(np.int64)
+        n = (end - start)[~often]
+        run = np.repeat(np.arange(len(n)), n) * np.int64(max(1, self.ranges)) + self.doc // BLOCK
         self.run_first = np.flatnonzero(np.concatenate([[True], run[1:] != run[:-1]])) if len(run) else np.empty(0, np.int64)
+        self.run_end = np.append(self.run_first[1:], len(run))[: len(self.run_first)]
         self.run_max = np.maximum.reduceat(self.gain, self.run_first) if len(run) else np.empty(0)
-        self.run_range = (run[self.run_first] % max(1, self.ranges)).astype(np.int64)
-        self.term_run = np.searchsorted(run[self.run_first], np.arange(len(self.terms) + 1) * np.int64(self.ranges))
-        self.run_end = np.append(self.run_first[1:], len(run))
-
-    def locate(self, terms: np.ndarray) -> np.ndarray:
-        at = np.searchsorted(self.terms, terms)
-        return np.where((at < len(self.terms)) & (self.terms[np.minimum(at, len(self.terms) - 1)] == terms), at, -1) if len(self.terms) else np.full(len(terms), -1)
-
-    def search(self, terms: np.ndarray, weights: np.ndarray, top: int) -> tuple[np.ndarray, np.ndarray]:
-        """(ids, scores) of the best documents with a positive score; ties by the smaller id."""
-        at = self.locate(terms)
-        at, weights = at[at >= 0], weights[at >= 0]
-        if not len(at):
-            return np.empty(0, np.int64), np.empty(0)
-        runs = spans(self.term_run[at], self.term_run[at + 1])
-        run_weight = np.repeat(weights, self.term_run[at + 1] - self.term_run[at])
-        bound = np.bincount(self.run_range[runs], run_weight * self.run_max[runs], self.ranges)
-        pivots = np.argsort(-bound, kind="stable")
-        by_range = np.argsort(self.run_range[runs], kind="stable")
-        runs, run_weight = runs[by_range], run_weight[by_range]
-        edge = np.searchsorted(self.run_range[runs], np.arange(self.ranges + 1))
-        ids, scores, floor, done, step = np.empty(0, np.int64), np.empty(0), 0.0, 0, 2
+        self.run_range = self.doc[self.run_first] // BLOCK
+        self.dense_slot, self.slot = np.full(len(asked), -1, np.int64), np.full(len(asked), -1, np.int64)  # of a term among either kind
+        self.dense_slot[self.dense] = np.arange(len(self.dense))
+        self.slot[here[~often]] = np.arange(len(n))
+        self.slot_run = np.searchsorted(run[self.run_first], np.arange(len(n) + 1) * np.int64(max(1, self.ranges)))
+
+    def search(self, queries: list[tuple[np.ndarray, np.ndarray]], floors: np.ndarray, top: int) -> list[tuple[np.ndarray, np.ndarray]]:
+        """(ids, scores) of each query's best documents with a positive score that reaches its floor; ties by the smaller id.
+
+        ``queries``: positions in the asked terms, and weights. A floor is a score that ``top`` documents are known to reach.
+        Ranges are taken in rounds in order of their bounds; in a round, the queries that still need a range share its product.
+        """
+        weight, sparse = np.zeros((len(queries), len(self.dense))), []
+        for k, (terms, w) in enumerate(queries):
+            at = self.dense_slot[terms]
+            weight[k, at[at >= 0]] = w[at >= 0]
+        bounds = weight @ self.column_max.T
+        for k, (terms, w) in enumerate(queries):
+            slot = self.slot[terms]
+            slot, w = slot[slot >= 0], w[slot >= 0]
+            a, b = self.slot_run[slot], self.slot_run[slot + 1]
+            runs, run_weight = spans(a, b), np.repeat(w, b - a)
+            if len(runs):
+                bounds[k] += np.bincount(self.run_range[runs], run_weight * self.run_max[runs], self.ranges)
+            sparse.append((runs, run_weight))
+        rank = np.argsort(np.argsort(-bounds, axis=1, kind="stable"), axis=1, kind="stable")
+        floors, out = floors.copy(), [(np.empty(0, np.int64), np.empty(0)) for _ in queries]
+        done, step = 0, 4
         while done < self.ranges:
-            some = pivots[done : done + step]
-            some = some[(bound[some] >= floor - 1e-9) & (bound[some] > 0)]
-            if not len(some):
-                break
-            chosen = spans(edge[some], edge[some + 1])
-            a, b = self.run_first[runs[chosen]], self.run_end[runs[chosen]]
-            posts = spans(a, b)
-            gain = self.gain[posts] * np.repeat(run_weight[chosen], b - a)
-            got = np.bincount(self.doc[posts], gain, len(self.ids))
-            hit = np.flatnonzero(got > 0)
-            ids, scores = np.concatenate([ids, self.ids[hit]]), np.concatenate([scores, got[hit]])
-            best = np.lexsort((ids, -scores))[:top]
-            ids, scores = ids[best], scores[best]
-            floor = scores[-1] if len(scores) == top else 0.0
+            live = (rank >= done) & (rank < done + step) & (bounds > 0) & (bounds >= floors[:, None] - SLACK)
+            some = np.flatnonzero(live.any(1))
+            row = np.full(len(queries), -1, np.int64)
+            row[some] = np.arange(len(some))
+            got = np.zeros((len(some), self.ranges * BLOCK))
+            for r in np.flatnonzero(live.any(0)):
+                ks = np.flatnonzero(live[:, r])
+                got[row[ks], r * BLOCK : (r + 1) * BLOCK] = weight[ks] @ self.column[r * BLOCK : (r + 1) * BLOCK].T
+            for k in some:
+                runs, run_weight = sparse[k]
+                hit = live[k, self.run_range[runs]]
+                mine = got[row[k]]
+                if hit.any():
+                    r = runs[hit]
+                    f, e = self.run_first[r], self.run_end[r]
+                    posts = spans(f, e)
+                    mine += np.bincount(self.doc[posts], self.gain[posts] * np.repeat(run_weight[hit], e - f), len(mine))
+                found = np.flatnonzero(mine > max(0.0, floors[k] - SLACK))
+                if len(found):
+                    ids, scores = np.concatenate([out[k][0], self.ids[found]]), np.concatenate([out[k][1], mine[found]])
+                    best = np.lexsort((ids, -scores))[:top]
+                    out[k] = ids[best], scores[best]
+                    if len(best) == top:
+                        floors[k] = max(floors[k], scores[best[-1]])
             done += step
-            step *= 2
-        return ids, scores
+            step *= 8
+        return out
 
 
 def spans(first: np.ndarray, end: np.ndarray) -> np.ndarray:
@@ -195,16 +236,20 @@ def search(docs: DataFrame, queries: DataFrame, top: int = TOP, doc_id: str = "d
         idf = np.log(1 + (n - df + 0.5) / (df + 0.5))
         ask = []
         for q, counts in merged.items():
-            t = np.fromiter(counts, np.int64, len(counts))
-            ask.append((q, t, np.fromiter(counts.values(), np.float64, len(counts)) * idf[np.searchsorted(distinct, t)]))
-        sent_queries = spark.sparkContext.broadcast(ask)
+            at = np.searchsorted(distinct, np.fromiter(counts, np.int64, len(counts)))
+            ask.append((q, at, np.fromiter(counts.values(), np.float64, len(counts)) * idf[at]))
+        sent_queries = spark.sparkContext.broadcast((distinct, ask))
 
-        def scored(batches: Iterator[pd.DataFrame], ask=sent_queries) -> Iterator[pd.DataFrame]:
+        def scored(batches: Iterator[pd.DataFrame], sent_queries=sent_queries) -> Iterator[pd.DataFrame]:
+            distinct, ask = sent_queries.value
+            best = np.zeros((len(ask), top))  # the best scores in this task so far: the last one is a floor for its other shards
             for batch in batches:
                 for row in batch.to_dict("records"):
-                    shard = Shard(row, mean)
-                    out = [(q, *shard.search(t, w, top)) for q, t, w in ask.value]
-                    yield pd.DataFrame({"query_id": np.repeat([o[0] for o in out], [len(o[1]) for o in out]).astype(np.int64), "doc_id": np.concatenate([o[1] for o in out]), "score": np.concatenate([o[2] for o in out])})
+                    out = Shard(row, mean, distinct).search([x[1:] for x in ask], best[:, -1], top)
+                    for k, (_, scores) in enumerate(out):
+                        if len(scores):
+                            best[k] = -np.sort(-np.concatenate([best[k], scores]))[:top]
+                    yield pd.DataFrame({"query_id": np.repeat([x[0] for x in ask], [len(o[0]) for o in out]).astype(np.int64), "doc_id": np.concatenate([o[0] for o in out]), "score": np.concatenate([o[1] for o in out])})
 
         found.append(written(index.select("ids", "lengths", "terms", "first", "doc", "tf").mapInPandas(scored, schema), "found"))
         sent.unpersist()

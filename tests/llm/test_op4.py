@@ -45,16 +45,19 @@ def test_equals_brute_force_over_many_shards(spark, docs_df, corpus, monkeypatch
 
 
 def test_pruning_skips_ranges(monkeypatch):
+    import numpy as np
     import pandas as pd
 
     monkeypatch.setattr(m, "BLOCK", 8)
     rows = [(i, "rare common" if i == 77 else "common filler words here") for i in range(400)]
-    shard = m.Shard(next(m.build([pd.DataFrame(rows, columns=["doc_id", "text"])])).iloc[0], 4.0)
     terms, counts = m.Terms()("rare common")
+    order = np.argsort(terms)
+    shard = m.Shard(next(m.build([pd.DataFrame(rows, columns=["doc_id", "text"])])).iloc[0], 4.0, terms[order])
     seen, real = [], m.spans
-    monkeypatch.setattr(m, "spans", lambda a, b: seen.append(len(a)) or real(a, b))
-    ids, _ = shard.search(terms, counts * 1.0, 1)
-    assert ids.tolist() == [77] and len(seen) < 2 * 4
+    monkeypatch.setattr(m, "spans", lambda a, b: seen.append(1) or real(a, b))
+    [(ids, scores)] = shard.search([(np.arange(2), counts[order] * 1.0)], np.zeros(1), 1)
+    assert ids.tolist() == [77] and len(seen) <= 3
+    assert [len(x[0]) for x in shard.search([(np.arange(2), counts[order] * 1.0)], np.array([scores[0] + 1]), 1)] == [0]
 
 
 def test_empty_tables_and_unknown_words(spark, docs_df):
