@@ -3,8 +3,9 @@
 Unit vectors with cosine c differ by a squared distance of 2 - 2c. Rotated vectors are split into blocks; of two
 vectors within that distance, some block differs by at most its share (in proportion to its dimensions). Each
 block is range-joined under that budget: a grid over its first coordinates, with cells twice the block radius wide, sends
-a vector to its own cell and, as a probe, to the cells its radius reaches. Candidates of the block are verified exactly,
-in double precision, and counted in the first block whose budget they meet, so that no pair leaves a task.
+a vector to its own cell and, as a probe, to the later cells that its radius reaches (of two near vectors in different cells,
+the one in the earlier cell probes the other's). Candidates of the block are verified exactly, in double precision, and
+counted in the first block whose budget they meet, so that no pair leaves a task.
 """
 
 from __future__ import annotations
@@ -20,7 +21,7 @@ from meshwright.llm.common import connected_components, cut, table
 
 COSINE = 0.98
 BLOCKS, GRID = 8, 2
-#: Home or probe rows of a cell that one task compares.
+#: Rows of a cell that one task compares with as many others.
 CELL = 4096
 
 
@@ -61,13 +62,14 @@ def cells(dim: int, cosine: float, blocks: int, grid: int):
                 width = 2 * radius
                 home = np.floor(y / width).astype(np.int64)
                 low, high = np.floor((y - radius) / width).astype(np.int64), np.floor((y + radius) / width).astype(np.int64)
-                yield batch.assign(block=k, cell=_code(home), role=0)
+                own = _code(home)
+                yield batch.assign(block=k, cell=own, role=0)
                 for corner in range(1 << y.shape[1]):
                     up = np.array([(corner >> d) & 1 for d in range(y.shape[1])], bool)
-                    seen = np.where(up, high, low)
-                    fresh = ~(up & (high == low)).any(1)  # a corner that coincides with a lower one is left out
+                    seen = _code(np.where(up, high, low))
+                    fresh = ~(up & (high == low)).any(1) & (seen > own)  # a corner that coincides with a lower one is left out
                     if fresh.any():
-                        yield batch[fresh].assign(block=k, cell=_code(seen[fresh]), role=1)
+                        yield batch[fresh].assign(block=k, cell=seen[fresh], role=1)
 
     return run
 
@@ -83,51 +85,49 @@ def meet(dim: int, cosine: float, blocks: int):
     """Per group: n (copies linked) of each representative, and a spanning forest of the links."""
 
     def run(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        part_no = int(key[1])
+        part_no, first, second = int(key[1]), int(key[3]), int(key[4])
         parts, budget, turn = block_slices(dim, blocks), squared_budget(cosine), rotation(dim)
-        home, probe = pdf[pdf["role"] == 0], pdf[pdf["role"] == 1]
-        empty = pd.DataFrame({"rep": pd.Series(dtype="int64"), "other": pd.Series(dtype="int64"), "n": pd.Series(dtype="int64")})
-        if not len(home) or not len(probe):
-            return empty
-        hv, pv = np.stack(home["vec"].to_numpy()).astype(np.float64), np.stack(probe["vec"].to_numpy()).astype(np.float64)
-        hx, px = unit(hv) @ turn, unit(pv) @ turn
-        hid, pid, hn = home["rep"].to_numpy(), probe["rep"].to_numpy(), home["n"].to_numpy()
+        share = lambda s: budget * (s.stop - s.start) / dim + 1e-9
+        own = pdf["own"].to_numpy()
+        left, right = np.flatnonzero(own == first), np.flatnonzero(own == second)
+        vec = np.stack(pdf["vec"].to_numpy()).astype(np.float64)
+        x, rep, n, home = unit(vec) @ turn, pdf["rep"].to_numpy(), pdf["n"].to_numpy(), pdf["role"].to_numpy() == 0
         part = parts[part_no]
-        share = lambda s: budget * (s.stop - s.start) / dim
-        counts: dict[int, int] = {}
-        parent: dict[int, int] = {}
-        edges = []
-
-        def root(x: int) -> int:
-            while (p := parent.get(x, x)) != x:
-                parent[x] = x = parent.get(p, p)
-            return x
-
-        square = (hx[:, part] ** 2).sum(1)
-        for at in range(0, len(pid), 256):
-            a = px[at : at + 256, part]
-            near = (a * a).sum(1)[:, None] + square[None, :] - 2 * a @ hx[:, part].T <= share(part) + 1e-9
-            i, j = np.nonzero(near & (pid[at : at + 256, None] != hid[None, :]))
-            i += at
+        square = (x[right, part] ** 2).sum(1)
+        counts, parent, edges = np.zeros(len(pdf), np.int64), list(range(len(pdf))), []
+
+        def root(i: int) -> int:
+            while parent[i] != i:
+                parent[i] = i = parent[parent[i]]
+            return i
+
+        for at in range(0, len(left), 256):
+            rows = left[at : at + 256]
+            a = x[rows, part]
+            near = (a * a).sum(1)[:, None] + square[None, :] - 2 * a @ x[right, part].T <= share(part)
+            near &= home[rows][:, None] | home[right][None, :]
+            if first == second:
+                near &= rows[:, None] < right[None, :]
+            i, j = np.nonzero(near)
             for cutoff in range(0, len(i), 20_000):
-                p, q = i[cutoff : cutoff + 20_000], j[cutoff : cutoff + 20_000]
+                p, q = rows[i[cutoff : cutoff + 20_000]], right[j[cutoff : cutoff + 20_000]]
                 # counted in the first block whose budget the pair meets
-                mine = np.ones(len(p), bool)
                 for s in parts[:part_no]:
-                    d = px[p, s] - hx[q, s]
-                    mine &= np.einsum("ij,ij->i", d, d) > share(s) + 1e-9
-                p, q = p[mine], q[mine]
-                ok = exact_cosine(pv[p], hv[q]) >= cosine
+                    d = x[p, s] - x[q, s]
+                    later = np.einsum("ij,ij->i", d, d) > share(s)
+                    p, q = p[later], q[later]
+                ok = exact_cosine(vec[p], vec[q]) >= cosine
                 p, q = p[ok], q[ok]
-                if len(p):
-                    who, back = np.unique(pid[p], return_inverse=True)
-                    for r, n in zip(who.tolist(), np.bincount(back, hn[q]).astype(np.int64).tolist()):
-                        counts[r] = counts.get(r, 0) + n
-                    for u, v in zip(pid[p].tolist(), hid[q].tolist()):
-                        if (ru := root(u)) != (rv := root(v)):
-                            parent[ru] = rv
-                            edges.append((u, v))
-        return pd.DataFrame([(r, None, n) for r, n in counts.items()] + [(u, v, 0) for u, v in edges], columns=["rep", "other", "n"]).astype({"rep": "int64", "other": "Int64", "n": "int64"}) if counts else empty
+                np.add.at(counts, p, n[q])
+                np.add.at(counts, q, n[p])
+                for u, v in zip(p.tolist(), q.tolist()):
+                    if (ru := root(u)) != (rv := root(v)):
+                        parent[ru] = rv
+                        edges.append((u, v))
+        some = np.flatnonzero(counts)
+        u, v = np.array(edges, np.int64).reshape(-1, 2).T
+        other = pd.array([None] * len(some), "Int64")
+        return pd.concat([pd.DataFrame({"rep": rep[some], "other": other, "n": counts[some]}), pd.DataFrame({"rep": rep[u], "other": pd.array(rep[v], "Int64"), "n": 0})], ignore_index=True)
 
     return run
 
@@ -152,15 +152,12 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
     for dim in dims:
         own = classes.where(F.size("vec") == dim)
         rows = own.mapInPandas(cells(dim, cosine, blocks, grid), f"label {kind}, vec {vec}, rep long, n long, block int, cell long, role int")
-        load = rows.groupBy("label", "block", "cell").agg(F.count_if(F.col("role") == 0).alias("h"), F.count_if(F.col("role") == 1).alias("p"))
-        load = load.where("h > 0 and p > 1").select("label", "block", "cell", F.ceil(F.col("h") / CELL).cast("int").alias("hs"), F.ceil(F.col("p") / CELL).cast("int").alias("ps"))
-        rows = rows.join(load, ["label", "block", "cell"])
-        # home rows of a part meet every part of the probes, and the reverse
-        own_part = F.when(F.col("role") == 0, F.pmod(F.xxhash64("rep"), F.col("hs"))).otherwise(F.pmod(F.xxhash64("rep"), F.col("ps"))).cast("int")
-        others = F.sequence(F.lit(0), F.when(F.col("role") == 0, F.col("ps")).otherwise(F.col("hs")) - 1)
-        rows = rows.withColumn("own", own_part).withColumn("o", F.explode(others))
-        rows = rows.withColumn("hp", F.when(F.col("role") == 0, F.col("own")).otherwise(F.col("o"))).withColumn("pp", F.when(F.col("role") == 0, F.col("o")).otherwise(F.col("own")))
-        found.append(rows.select("label", "block", "cell", "hp", "pp", "role", "rep", "n", "vec").groupBy("label", "block", "cell", "hp", "pp").applyInPandas(meet(dim, cosine, blocks), "rep long, other long, n long"))
+        load = rows.groupBy("label", "block", "cell").agg(F.count("*").alias("m"), F.min("role").alias("role")).where("m > 1 and role = 0").select("label", "block", "cell", F.ceil(F.col("m") / CELL).cast("int").alias("parts"))
+        rows = rows.join(load, ["label", "block", "cell"]).withColumn("own", F.pmod(F.xxhash64("rep"), F.col("parts")).cast("int"))
+        # each pair of parts is a group of its own
+        pairs = F.transform(F.sequence(F.lit(0), F.col("parts") - 1), lambda o: F.struct(F.least(o, F.col("own")).alias("a"), F.greatest(o, F.col("own")).alias("b")))
+        rows = rows.select("label", "block", "cell", "own", "role", "rep", "n", "vec", F.explode(pairs).alias("pair")).select("*", "pair.a", "pair.b").drop("pair")
+        found.append(rows.groupBy("label", "block", "cell", "a", "b").applyInPandas(meet(dim, cosine, blocks), "rep long, other long, n long"))
     if found:
         linked = found[0]
         for more in found[1:]:
