@@ -57,7 +57,7 @@ class Features:
         words = text.lower().split()
         distinct = sorted(set(words))
         known = self.known
-        if len(known) > 300_000:
+        if len(known) > 100_000:
             known.clear()
         out = np.empty(len(distinct), np.int32)
         for i, w in enumerate(distinct):
@@ -140,8 +140,9 @@ def sample_rows(docs: DataFrame, chosen: DataFrame) -> tuple[list[tuple[np.ndarr
             yield pd.DataFrame({"doc_id": batch["doc_id"], "y": batch["y"], "words": [g[0] for g in got], "stats": [g[1] for g in got]})
 
     kind = chosen.schema["y"].dataType.simpleString()
-    found = inputs(docs).join(F.broadcast(chosen), "doc_id").mapInPandas(run, f"doc_id long, y {kind}, words array<int>, stats array<int>").toPandas()
-    found = found.sort_values("doc_id", kind="stable").drop_duplicates("doc_id")
+    # an id counts once, however often its row is repeated
+    rows = inputs(docs).join(F.broadcast(chosen), "doc_id").groupBy("doc_id").agg(F.min(F.struct("text", "n_chars", "y")).alias("x")).select("doc_id", "x.*")
+    found = rows.mapInPandas(run, f"doc_id long, y {kind}, words array<int>, stats array<int>").toPandas().sort_values("doc_id", kind="stable")
     return [(np.asarray(a, np.int32), list(b)) for a, b in zip(found["words"], found["stats"])], list(found["y"])
 
 

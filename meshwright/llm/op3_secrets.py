@@ -9,6 +9,7 @@ candidates and those that touch a base span are suppressed. Positions are code p
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,8 +24,8 @@ CLASSES = (
     ("entropy_hex", r"[0-9A-Fa-f]{24,}", "0123456789abcdef", 24, 3.0),
     ("entropy_base64", r"[A-Za-z0-9+/_=-]{24,}", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-", 24, 4.1),
 )
-#: A candidate that matches is no secret: one letter case and no digit (a word), words joined by hyphens or underscores, digits only, paths of words.
-ALLOW = (r"^[a-z]+$", r"^[A-Z]+$", r"^[A-Z]?[a-z]+(?:[-_/=+]+[A-Z]?[a-z]*)*$", r"^[A-Z]+(?:[-_/=+]+[A-Z]*)*$", r"^[0-9]+$", r"^[-_=+/]+$")
+#: A candidate in which none of the patterns of a line occurs is no secret: words (capitals only at their starts), words in capitals, numbers.
+ALLOW = (("[0-9]", "[A-Za-z][A-Z]"), ("[0-9]", "[a-z]"), ("[A-Za-z]",))
 MASK = "<secret>"
 
 
@@ -58,21 +59,24 @@ def window_entropy(word: Column, alphabet: str, window: int) -> Column:
     """
     size = len(alphabet)
     weight = lambda c: F.when(c > 1, c * F.log2(c)).otherwise(F.lit(0.0))
-    symbol = lambda i: F.instr(F.lit(alphabet), F.substr(word, i, F.lit(1)))
-    start = F.struct(F.array_repeat(F.lit(0.0), size).alias("n"), F.lit(0.0).alias("t"), F.lit(0.0).alias("h"))
+    # number of each character's symbol, beside that of the character that leaves the window
+    symbols = F.transform(F.split(word, ""), lambda ch: F.instr(F.lit(alphabet), ch))
+    pairs = F.zip_with(symbols, F.concat(F.array_repeat(F.lit(0), window), symbols), lambda come, go: F.struct(come.alias("come"), go.alias("go")))
+    pairs = F.filter(pairs, lambda x, i: x["come"].isNotNull())
+    start = F.struct(F.array_repeat(F.lit(0.0), size).alias("n"), F.lit(0.0).alias("t"), F.lit(0.0).alias("h"), F.lit(0).alias("i"))
 
-    def step(acc, i):
-        come = symbol(i)
-        go = F.when(i > window, symbol(i - window)).otherwise(F.lit(0))
+    def step(acc, x):
+        come, go = x["come"], x["go"]
         less = F.when(go > 0, F.get(acc["n"], go - 1)).otherwise(F.lit(0.0))
         t = F.when(go > 0, acc["t"] - weight(less) + weight(less - 1)).otherwise(acc["t"])
         more = F.get(acc["n"], come - 1) - F.when(go == come, 1.0).otherwise(0.0)
         t = t - weight(more) + weight(more + 1)
         n = F.transform(acc["n"], lambda c, j: c + F.when(j == come - 1, 1.0).otherwise(0.0) - F.when(j == go - 1, 1.0).otherwise(0.0))
+        i = acc["i"] + 1
         h = F.when(i >= window, F.greatest(acc["h"], F.lit(math.log2(window)) - t / window)).otherwise(acc["h"])
-        return F.struct(n.alias("n"), t.alias("t"), h.alias("h"))
+        return F.struct(n.alias("n"), t.alias("t"), h.alias("h"), i.alias("i"))
 
-    return F.aggregate(F.sequence(F.lit(1), F.length(word)), start, step, lambda acc: acc["h"])
+    return F.aggregate(pairs, start, step, lambda acc: acc["h"])
 
 
 def joined(spans: Column) -> Column:
@@ -95,8 +99,8 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", carry:
 
     def suspicious(x, alphabet, window, bits):
         ok = ~F.exists(F.col("base"), lambda y: (y["s"] < x["e"]) & (x["s"] < y["e"]))
-        for pattern in allow:
-            ok = ok & ~x["m"].rlike(pattern)
+        for absent in allow:
+            ok = ok & reduce(lambda p, q: p | q, [x["m"].rlike(p) for p in absent])
         word = F.lower(x["m"]) if alphabet == alphabet.lower() else x["m"]
         return F.when(ok, window_entropy(word, alphabet, window) >= bits).otherwise(False)
 

@@ -29,8 +29,8 @@ DENSE = 16
 SLACK = 1e-7
 #: A shard is closed at so many documents or postings.
 SHARD_DOCS, SHARD_POSTINGS = 4096, 1_000_000
-#: Queries that are searched at once, on average: what a pass broadcasts is bounded.
-QUERY_BLOCK = 1024
+#: Queries and terms of theirs that are searched at once, on average: what a pass collects and broadcasts is bounded (16 bytes a term).
+QUERY_BLOCK, QUERY_TERMS = 1024, 1_000_000
 _INDEX = "n_docs long, total long, ids binary, lengths binary, terms binary, first binary, doc binary, tf binary"
 
 
@@ -206,8 +206,10 @@ def search(docs: DataFrame, queries: DataFrame, top: int = TOP, doc_id: str = "d
             yield pd.DataFrame({"query_id": batch["query_id"], "terms": [g[0] for g in got], "counts": [g[1] for g in got]})
 
     asked = queries.where(F.col(query_id).isNotNull()).select(F.col(query_id).cast("long").alias("query_id"), text(query_text))
-    blocks = max(1, -(-asked.count() // QUERY_BLOCK))
-    asked = written(asked.mapInPandas(of_queries, "query_id long, terms array<long>, counts array<int>").withColumn("block", F.pmod(F.xxhash64("query_id"), F.lit(blocks)).cast("int")), "queries")
+    asked = written(asked.mapInPandas(of_queries, "query_id long, terms array<long>, counts array<int>"), "queries")
+    load = asked.agg(F.count("*").alias("n"), F.coalesce(F.sum(F.size("terms")), F.lit(0)).alias("terms")).first()
+    blocks = max(1, -(-load["n"] // QUERY_BLOCK), -(-load["terms"] // QUERY_TERMS))
+    asked = asked.withColumn("block", F.pmod(F.xxhash64("query_id"), F.lit(blocks)).cast("int"))
     found = []
     for block in range(blocks):
         rows = asked.where(F.col("block") == block).orderBy("query_id").collect()  # a block: bounded

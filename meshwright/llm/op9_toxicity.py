@@ -208,7 +208,8 @@ def fit(docs: DataFrame, labels: DataFrame, toxic: int = SAMPLE_TOXIC, clean: in
     some = lambda value, n: y.where(F.col("y") == value).orderBy(F.xxhash64("doc_id"), "doc_id").limit(n)
     chosen = some(1, toxic).unionByName(some(0, clean))
     text = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    found = text.join(F.broadcast(chosen), "doc_id").toPandas().sort_values(["doc_id", "text"], kind="stable").drop_duplicates("doc_id")
+    # an id counts once, however often its row is repeated
+    found = text.join(F.broadcast(chosen), "doc_id").groupBy("doc_id").agg(F.min("text").alias("text"), F.max("y").alias("y")).toPandas().sort_values("doc_id", kind="stable")
     return fit_texts(list(found["text"]), found["y"].to_numpy(np.float32))
 
 
