@@ -47,7 +47,8 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
 
     Alternating large-star and small-star steps: the minimum of each neighbourhood is a grouped
     aggregate (combined before the shuffle), joined back to the edges, so a hub's edges are never
-    gathered in one row and its join partition can be split. Each round ends with a checkpoint.
+    gathered in one row. The minima are checkpointed, so that both sides of a join are plain shuffles:
+    only then can adaptive execution split a hub's partition. Each round ends with a checkpoint.
     """
     both = lambda e: e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
     e = cut(edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).where("u <> v").distinct())
@@ -55,10 +56,10 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     state = None
     for _ in range(max_rounds):
         around = both(e)
-        least = around.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        large = around.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
+        least = cut(around.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")))
+        large = cut(around.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct())
         # every edge now points to a smaller node
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
+        least = cut(large.groupBy("u").agg(F.min("v").alias("m")))
         small = large.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v")
         e = cut(small.unionByName(least.select("u", F.col("m").alias("v"))).distinct())
         now = e.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()

@@ -195,8 +195,8 @@ def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     fps = cut(fingerprints(docs, id_col, text_col, words))
     distinct = cut(fps.groupBy("fp").agg(F.min("doc_id").alias("least")))
     comp = connected_components(links(distinct, distance))
-    named = distinct.join(comp.withColumnRenamed("node", "fp"), "fp", "left").withColumn("component", F.coalesce("component", "fp"))
-    least = named.groupBy("component").agg(F.min("least").alias("component_id"))
+    named = cut(distinct.join(comp.withColumnRenamed("node", "fp"), "fp", "left").withColumn("component", F.coalesce("component", "fp")))
+    least = cut(named.groupBy("component").agg(F.min("least").alias("component_id")))  # apart from the join, whose large components can then be split
     return fps.join(named.join(least, "component").select("fp", "component_id"), "fp").select("doc_id", "fp", "component_id")
 
 
