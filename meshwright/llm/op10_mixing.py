@@ -76,17 +76,20 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Softmax:
 def posteriors(docs: DataFrame, model: Softmax, carry: list[str] | None = None) -> DataFrame:
     """doc_id, tokens (words), p (array of domain posteriors) and the columns named in ``carry`` for every row, from whole texts."""
 
-    def run(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+    def run(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
         make = Features()
         for texts, chars in batches:
             raw = [model.raw(*make(t, c)) for t, c in zip(texts, chars)]
-            yield pd.Series([p.tolist() for p in softmax(np.array(raw, np.float64))] if raw else [], dtype=object)
+            p = pd.Series([x.tolist() for x in softmax(np.array(raw, np.float64))] if raw else [], dtype=object)
+            # words as split at ASCII white space
+            yield pd.DataFrame({"p": p, "tokens": pd.Series([len(t.encode("utf-8", "surrogatepass").split()) for t in texts], dtype="int64")})
 
-    udf = F.pandas_udf(run, "array<double>", F.PandasUDFType.SCALAR_ITER)
+    udf = F.pandas_udf(run, "p array<double>, tokens long", F.PandasUDFType.SCALAR_ITER)
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     chars = F.col("n_chars").cast("long") if "n_chars" in docs.columns else F.lit(None).cast("long")
-    tokens = F.size(F.filter(F.split(text, r"[ \t\n\r\x0B\f]+"), lambda w: w != "")).cast("long")
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), *(carry or []), tokens.alias("tokens"), udf(text, chars).alias("p"))
+    carry = carry or []
+    got = docs.select(F.col("doc_id").cast("long").alias("doc_id"), *carry, udf(text, chars).alias("_scored"))
+    return got.select("doc_id", *carry, F.col("_scored.tokens").alias("tokens"), F.col("_scored.p").alias("p"))
 
 
 def rate(history: list[np.ndarray], p="p"):
