@@ -4,6 +4,8 @@ A classifier fitted on the labelled table gives every document posteriors over d
 minimise the squared difference between the expected domain totals, sum r_d tokens_d p_dk, and the targets, by projected gradient
 descent from r = 1: a step adds p_d . y to every rate and clips at zero. The totals of a step are one distributed aggregate; only
 vectors with one number per domain reach the driver. Distances are scaled by the inverse of sum tokens p p^T, for which a unit step descends.
+If the totals still differ after STEPS such steps, implicit steps follow (the gradient is taken where the step ends, which Newton's method finds
+from the same kind of sums), each longer than the last, until a dual bound proves that the totals are within GAP of the least-squares ones.
 """
 
 from __future__ import annotations
@@ -26,6 +28,8 @@ TARGET = {"low_clean": 0.04, "low_toxic": 0.0, "high_clean": 0.95, "high_toxic":
 VOLUME = 1.0
 SAMPLE = 6000
 STEPS, TOLERANCE = 25, 1e-6
+#: Largest distance of the domain totals from the least-squares optimum's, as a share of the tokens.
+GAP = 1e-3
 
 
 class Softmax:
@@ -92,18 +96,73 @@ def posteriors(docs: DataFrame, model: Softmax, carry: list[str] | None = None)
     return got.select("doc_id", *carry, F.col("_scored.tokens").alias("tokens"), F.col("_scored.p").alias("p"))
 
 
-def rate(history: list[np.ndarray], p="p"):
-    """The rate after the steps in ``history``: each adds -p.y, then clips at zero."""
-    r = F.lit(1.0)
+def rate(history: list[np.ndarray], p="p", floor=None):
+    """The rate after the steps in ``history``: each adds -p.y, then clips at ``floor`` (a column, zero by default)."""
+    r, floor = F.lit(1.0), F.lit(0.0) if floor is None else floor
     if history:
         steps = F.array(*[F.array(*[F.lit(float(y)) for y in step]) for step in history])
         move = lambda s: F.aggregate(F.zip_with(F.col(p), s, lambda a, b: a * b), F.lit(0.0), lambda acc, x: acc + x)
-        r = F.aggregate(steps, r, lambda acc, s: F.greatest(F.lit(0.0), acc - move(s)))
+        r = F.aggregate(steps, r, lambda acc, s: F.greatest(floor, acc - move(s)))
     return r
 
 
-def fit_rates(table_: DataFrame, target: dict[str, float] | None = None, volume: float = VOLUME, steps: int = STEPS, tolerance: float = TOLERANCE) -> list[np.ndarray]:
-    """The steps of the descent (one vector of domains each); ``table_`` has tokens and p."""
+def implicit_steps(table_: DataFrame, goal: np.ndarray, gap: float = GAP, most: int = 20) -> list[np.ndarray]:
+    """Steps that bring the totals within ``gap`` of the least-squares ones; ``table_`` has p, r, floor (at most r) and share (of all tokens), ``goal`` shares.
+
+    A step y = (totals after it - goal) / e minimises the convex d(y) = sum share h(r - p.y) + e y.y / 2 + goal.y, where h' clips at the floor.
+    For any v, |g - z|^2 / 2 >= v.g - v.v / 2 - v.z holds for all totals z in reach; v = -e y gives a bound on how far the optimum is.
+    """
+    k = len(goal)
+    dot = lambda y: sum((F.get("p", F.lit(i)) * F.lit(float(v)) for i, v in enumerate(y)), F.lit(0.0))
+    least = np.array(table_.agg(*[F.sum(F.col("floor") * F.col("share") * F.get("p", F.lit(i))) for i in range(k)]).first(), float)
+
+    def sums(df: DataFrame, y: np.ndarray) -> tuple[float, float, np.ndarray, np.ndarray]:
+        """d without its last two terms, the largest p.(-y), the totals and the sum of share p p^T over the rows above their floor."""
+        u, low = F.col("u"), F.col("floor")
+        df = df.where("share > 0").select("p", "share", "floor", dot(y).alias("m"), (F.col("r") - dot(y)).alias("u"))
+        part = F.when(u > low, u * u / 2).otherwise(low * u - low * low / 2)
+        cells = [F.sum(F.when(u > low, F.col("share") * F.get("p", F.lit(i)) * F.get("p", F.lit(j))).otherwise(0.0)) for i in range(k) for j in range(i, k)]
+        got = df.agg(F.sum(F.col("share") * part), F.max(-F.col("m")), *[F.sum(F.col("share") * F.greatest(u, low) * F.get("p", F.lit(i))) for i in range(k)], *cells).first()
+        h = np.zeros((k, k))
+        h[np.triu_indices(k)] = got[2 + k :]
+        return got[0], got[1], np.array(got[2 : 2 + k], float), np.triu(h) + np.triu(h, 1).T
+
+    steps: list[np.ndarray] = []
+    e, df = 1e-2, table_
+    for _ in range(most):
+        y = trial = move = np.zeros(k)
+        best, far = None, math.inf
+        for _ in range(80):
+            part, top, z, h = sums(df, trial)
+            d = part + e * trial @ trial / 2 + goal @ trial
+            if best is not None and d > best + 1e-12 * (1 + abs(best)):
+                move = move / 2
+                if np.abs(move).max() <= 1e-12 * (1 + np.abs(y).max()):
+                    break
+                trial = y - move
+                continue
+            y, best, v = trial, d, -e * trial
+            # totals in reach are the floors' and a nonnegative sum of posteriors, which is no longer than the goal is far from the floors'
+            reach = v @ least + max(0.0, e * top) * math.sqrt(k) * np.linalg.norm(goal - least)
+            far = math.sqrt(max(0.0, (goal - z) @ (goal - z) - 2 * (v @ goal - v @ v / 2 - reach)))
+            gradient = goal + e * y - z
+            if far <= gap or np.abs(gradient).max() <= 1e-3 * gap:
+                break
+            move = np.linalg.solve(h + e * np.eye(k), gradient)
+            trial = y - move
+        steps.append(y)
+        if far <= gap:
+            return steps
+        df = df.withColumn("r", F.greatest(F.col("floor"), F.col("r") - dot(y)))
+        e = max(e / 100, 1e-12)
+    raise RuntimeError(f"rates did not converge: domain totals may be {far:.2g} of the tokens from the least-squares ones, {gap:.2g} is allowed")
+
+
+def fit_rates(table_: DataFrame, target: dict[str, float] | None = None, volume: float = VOLUME, steps: int = STEPS, tolerance: float = TOLERANCE, floor=None, gap: float = GAP) -> list[np.ndarray]:
+    """The steps of the descent (one vector of domains each); ``table_`` has tokens and p. No rate falls below ``floor`` (a column of numbers from 0 to 1).
+
+    Steps end when they are at most ``tolerance``, or the totals provably within ``gap`` of the least-squares ones; if neither is reached, it is an error.
+    """
     target = target or TARGET
     k = len(DOMAINS)
     cells = [F.sum(F.col("tokens") * F.get("p", F.lit(i)) * F.get("p", F.lit(j))).alias(f"a{i}_{j}") for i in range(k) for j in range(i, k)]
@@ -118,12 +177,14 @@ def fit_rates(table_: DataFrame, target: dict[str, float] | None = None, volume:
     scale = np.linalg.pinv(a + 1e-9 * np.trace(a) * np.eye(k))
     history: list[np.ndarray] = []
     for _ in range(steps):
-        got = table_.select("tokens", "p", rate(history).alias("r")).agg(*[F.sum(F.col("r") * F.col("tokens") * F.get("p", F.lit(i))) for i in range(k)]).first()
+        got = table_.select("tokens", "p", rate(history, floor=floor).alias("r")).agg(*[F.sum(F.col("r") * F.col("tokens") * F.get("p", F.lit(i))) for i in range(k)]).first()
         step = scale @ (np.array(got, float) - goal)
         if np.abs(step).max() <= tolerance:
-            break
+            return history
         history.append(step)
-    return history
+    low = (F.lit(0.0) if floor is None else floor).cast("double")
+    rest = written(table_.select("p", rate(history, floor=floor).alias("r"), low.alias("floor"), (F.col("tokens") / F.lit(float(first["t"]))).alias("share")), "rates")
+    return history + implicit_steps(rest, goal / first["t"], gap)
 
 
 def mix(docs: DataFrame, labels: DataFrame, target: dict[str, float] | None = None, volume: float = VOLUME) -> DataFrame:
