@@ -13,8 +13,6 @@ from meshwright.llm import op2_quality, op3_secrets, op5_packing, op8_simhash, o
 from meshwright.llm.common import table, written
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
-#: Domain shares and volume of the mixing stage; toxic and low-quality documents lose weight, clean ones keep at least theirs.
-TARGET = {"low_clean": 0.0, "low_toxic": 0.0, "high_clean": 0.99, "high_toxic": 0.01}
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -38,11 +36,28 @@ def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return got.select("doc_id", text.alias("text"), "lang", "source", F.when(hit, F.length(text).cast("long")).otherwise(F.col("n_chars")).alias("n_chars"))
 
 
+def mixing_rate(scored: DataFrame):
+    """The rate as a column of ``scored``, which has tokens and p."""
+    domains = op10_mixing.DOMAINS
+    clean = F.get("p", F.lit(domains.index("high_clean"))) >= F.array_max("p")
+    totals = scored.where(clean).agg(*[F.sum(F.col("tokens") * F.get("p", F.lit(i))) for i in range(len(domains))]).first()
+    volume = sum(x or 0.0 for x in totals)
+    if not volume:
+        return F.lit(1.0)
+    floor = F.when(clean, 1.0).otherwise(0.0)
+    target = {d: x / volume for d, x in zip(domains, totals)}
+    return op10_mixing.rate(op10_mixing.fit_rates(scored, target, floor=floor), floor=floor)
+
+
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document as often as its fitted rate says."""
+    """Each document as often as its fitted rate says; those that the classifier calls clean at least once.
+
+    The target is the shares that the clean documents have, over the tokens of all: soft posteriors can reach it, as rates that
+    are equal for the clean documents and 0 for the others do. If nothing is called clean, every document keeps rate 1.
+    """
     labels = table(spark, sf_dir, "labels")
     got = written(op10_mixing.posteriors(docs, op10_mixing.fit(docs, labels), carry=[c for c in COLUMNS if c != "doc_id"]), "mixing")
-    rate = op10_mixing.rate(op10_mixing.fit_rates(got, TARGET))
+    rate = mixing_rate(got)
     times = op10_mixing.copies(rate, F.col("doc_id"))
     return got.withColumn("times", times).where("times > 0").withColumn("copy", F.explode(F.sequence(F.lit(1), "times"))).select(*COLUMNS)
 

@@ -84,3 +84,42 @@ def test_run_equals_the_stages(spark, stages):
     d, s = stages
     got = cp.run(spark, str(d))
     assert sorted(map(str, got.select("doc_id", "start", "ids_crc32").collect())) == sorted(map(str, s["packing"].select("doc_id", "start", "ids_crc32").collect()))
+
+
+def test_mixing_keeps_every_held_out_clean_document_and_drops_toxic_weight(spark):
+    import os
+
+    from pyspark.sql import functions as F
+
+    import corpus_pipeline as cp
+    from meshwright.llm import op10_mixing as m
+    from meshwright.llm.common import table, written
+
+    d = "/root/testdata/sf0.01"
+    if not os.path.isdir(d):
+        pytest.skip("no test tables")
+    docs, labels = table(spark, d, "documents"), table(spark, d, "labels").where("doc_id is not null and quality is not null and toxic is not null").dropDuplicates(["doc_id"])
+    model = m.fit(docs, labels.where("doc_id % 2 = 0"))
+    # the mixing stage gets what the quality filter kept
+    docs = docs.join(labels.where("quality = 0").select("doc_id"), "doc_id", "left_anti")
+    scored = written(m.posteriors(docs, model), "scored")
+    rated = scored.withColumn("rate", cp.mixing_rate(scored))
+    rows = rated.withColumn("times", m.copies(F.col("rate"), F.col("doc_id"))).join(labels.where("doc_id % 2 = 1"), "doc_id").toPandas()
+    clean, toxic = rows[(rows.quality == 1) & (rows.toxic == 0)], rows[rows.toxic == 1]
+    assert len(clean) > 50 and (clean.times >= 1).mean() > 0.98 and clean.times.mean() < 2
+    assert toxic.rate.mean() < clean.rate.mean()
+    print("clean kept", (clean.times >= 1).mean(), "toxic rate", toxic.rate.mean(), len(toxic), "clean rate", clean.rate.mean(), len(clean))
+
+
+def test_a_floor_keeps_clean_documents_whose_posteriors_are_soft(spark):
+    import corpus_pipeline as cp
+
+    rng = np.random.default_rng(2)
+    p = np.vstack([rng.dirichlet([1.0, 0.3, 12.0, 1.0], 300), rng.dirichlet([1.0, 0.3, 2.0, 9.0], 40)])
+    df = spark.createDataFrame([(i, 50 + i % 70, x.tolist()) for i, x in enumerate(p)], "doc_id long, tokens long, p array<double>")
+    got = np.array([r.r for r in df.select("doc_id", cp.mixing_rate(df).alias("r")).orderBy("doc_id").collect()])
+    called = p.argmax(1) == 2
+    tokens = 50 + np.arange(len(p)) % 70
+    assert (got[called] >= 1).all() and got.max() < 5 and got[~called].mean() < 0.5
+    want = (tokens[called] @ p[called]) / tokens[called].sum()
+    assert np.allclose((got * tokens) @ p / tokens.sum(), want, atol=2e-3)
