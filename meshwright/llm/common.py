@@ -14,9 +14,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: ``spark.checkpoint.dir``; set here only where it is unset (tests)."""
+    """The folder that driver and executors share: ``spark.checkpoint.dir``; set here only where it is unset and all run on one machine (tests)."""
     known = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not known:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         known = tempfile.mkdtemp(prefix="meshwright-")
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(known)
@@ -42,6 +44,11 @@ def held_out_fold(doc_id, modulus: int):
     return F.pmod(F.crc32(F.col(doc_id).cast("string").cast("binary")), F.lit(modulus))
 
 
+def let(value, body):
+    """``body`` of the value, which is computed once, also where ``body`` uses it inside lambdas."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     """(node, component) of the graph ``edges(u, v)``; component is the smallest node reachable.
 

@@ -13,13 +13,11 @@ from meshwright.llm.op5_packing import ByteBpe, TournamentTree, default_vocabula
 def tokenizer():
     from tokenizers import Tokenizer
 
-    t = Tokenizer.from_file(default_vocabulary()[0])
-    t.encode_special_tokens = True
-    return t
+    return Tokenizer.from_file(default_vocabulary()[0])
 
 
-@settings(max_examples=150, deadline=None)
-@given(st.text())
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.one_of(st.text(), st.sampled_from(["<|endoftext|>", "<|endoftext|", "<|", " <|endoftext|> ", "\n\n"]))).map("".join))
 def test_both_encoders_give_equal_ids(text):
     assert encode(text) == slow.encode(text, add_special_tokens=False).ids
 
@@ -80,5 +78,27 @@ def test_round_trip(spark, docs_df, corpus):
         assert at <= 1024
 
 
+def test_special_tokens_are_tokens():
+    assert encode("a <|endoftext|> b") == [64, 220, 50256, 275]
+
+
+def test_ids_stay_exact_beside_nulls_and_repeats_are_split(spark):
+    big = (1 << 60) + 1
+    rows = [(big, "one"), (None, "two"), (big, "one <|endoftext|>"), (-big, None)] + [(None, "same")] * 3000
+    got = pack(spark.createDataFrame(rows, "doc_id long, text string"), group_documents=300).collect()
+    assert len(got) == len(rows)
+    assert sorted(r.doc_id for r in got if r.doc_id is not None) == [-big, big, big]
+    assert sum(r.doc_id is None for r in got) == 3001
+    assert len({r.sequence_id >> 32 for r in got}) == 11  # copies without an id lie in all groups
+
+
+def test_long_text_is_cut_and_its_pieces_are_whole(spark):
+    text = "word " * 300_000
+    got = pack(spark.createDataFrame([(1, text), (2, "x")], "doc_id long, text string")).where("doc_id = 1").orderBy("start").collect()
+    n = got[0].doc_tokens
+    assert [r.start for r in got] == list(range(0, n, 1024)) and sum(r.length for r in got) == n
+    assert len({r.sequence_id for r in got}) == len(got)
+
+
 def test_empty_table(spark, docs_df):
     assert pack(docs_df.limit(0)).count() == 0
