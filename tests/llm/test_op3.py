@@ -3,7 +3,7 @@ import math
 import random
 import re
 
-from meshwright.llm.op3_secrets import ALLOW, CLASSES, MASK, redact, scan
+from meshwright.llm.op3_secrets import ALLOW, CLASSES, EXAMPLES, KNOWN, MASK, WORDS, redact, scan
 
 ASSIGN = re.compile(r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.A)
 
@@ -16,12 +16,17 @@ def base(text):
 
 
 def added(text, spans):
-    out = []
-    for rank, (kind, pattern, alphabet, window, bits) in enumerate(CLASSES):
+    out, chars = [], list(text)
+    for at, end in [x[:2] for x in spans] + [m.span() for p in ALLOW for m in re.finditer(p, text, re.A)]:
+        chars[at:end] = " " * (end - at)
+    text = "".join(chars)
+    for rank, (kind, pattern, alphabet, windows) in enumerate(CLASSES):
         for m in re.finditer(pattern, text):
-            if any(s < m.end() and m.start() < e for s, e, _ in spans) or any(not any(re.search(p, m[0]) for p in absent) for absent in ALLOW):
+            x = m[0]
+            if all(re.search(WORDS, p) for p in re.split("[/_=+-]+", x)) or re.search(EXAMPLES, x) or any(x in k for k in KNOWN):
                 continue
-            word, best = m[0].lower() if alphabet.islower() or alphabet == alphabet.lower() else m[0], 0.0
+            window, bits = [w for w in windows if len(x) >= w[0]][-1]
+            word, best = x.lower() if alphabet == alphabet.lower() else x, 0.0
             for i in range(len(word) - window + 1):
                 part = word[i : i + window]
                 best = max(best, -sum(part.count(c) / window * math.log2(part.count(c) / window) for c in set(part)))
@@ -81,6 +86,69 @@ def test_redaction_masks_spans_once(spark):
     assert scan(df.limit(0)).count() == 0
 
 
+def test_overlapping_spans_of_long_texts_are_masked_once(spark):
+    from pyspark.sql import functions as F
+
+    rng, rows = random.Random(4), []
+    for i in range(30):
+        text = "".join(rng.choices("ab é😀\n", k=rng.randint(1, 9000)))
+        cuts = sorted((a := rng.randrange(len(text)), min(len(text), a + rng.choice((1, 30, 3000)))) for _ in range(rng.choice((1, 5, 1200))))
+        rows.append((i, text, cuts))
+    df = spark.createDataFrame(rows, "i int, t string, spans array<struct<s:int,e:int>>")
+    for r in df.select("i", redact(F.col("t"), F.col("spans")).alias("x")).collect():
+        at, out = 0, ""
+        for s, e in rows[r.i][2]:
+            if s >= at:
+                out += rows[r.i][1][at:s] + MASK
+            at = max(at, e)
+        assert r.x == out + rows[r.i][1][at:]
+
+
+def test_random_tokens_of_each_kind_are_found(spark):
+    rng, rows = random.Random(9), []
+    kinds = {"lower": "abcdefghijklmnopqrstuvwxyz0123456789", "base32": "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567", "mixed": "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789", "url": "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789-_", "HEX": "0123456789ABCDEF"}
+    for kind, letters in kinds.items():
+        for n in (24, 28, 32, 40, 64):
+            rows += [(kind, n, "see " + "".join(rng.choices(letters, k=n)) + " there") for _ in range(300)]
+    df = spark.createDataFrame([(i, r[2]) for i, r in enumerate(rows)], "doc_id long, text string")
+    missed = {}
+    for r in scan(df).collect():
+        k = rows[r.doc_id][:2]
+        missed[k] = missed.get(k, 0) + (not r.spans)
+    assert all(n <= 12 for n in missed.values()), missed
+
+
+def test_harmless_strings_are_left_alone(spark):
+    texts = ["123e4567-e89b-12d3-a456-426614174000", "see /usr/share/Documents/some-long-title_2024/page12", "getUserNameFromDatabaseRow12", "ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789"[:26], "sha512-" + "".join(random.Random(1).choices("ABCDEFGHIJKLMNabcdefghijklmn0123456789+/", k=86)) + "==", "qwertyuiopasdfghjklzxcvbnm", "wJalrXUtnFEMI/K7MDENG/bPxRfiCYEXAMPLEKEY", "r" * 60, "2024-01-15-12-30-45-report-of-the-day", "thisisaverylongrunofletterswithoutanybreak"]
+    got = scan(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    assert not [(texts[r.doc_id], r.spans) for r in got if r.spans]
+
+
+def test_what_a_base_span_leaves_over_is_scanned(spark):
+    rng = random.Random(12)
+    word = "".join(rng.choices("ABCDEFGHIJKLMNOPQRSTUVWXYZ", k=1)) + "".join(rng.choices("GHIJKLMNghijklmnopqrstuvwxyz23456789", k=60))
+    text = word + "0123456789abcdef" * 2 + " token=abcdef " + word
+    (r,) = scan(spark.createDataFrame([(1, text)], "doc_id long, text string")).collect()
+    assert [(s.s, s.e) for s in r.base] == [(61, 93), (94, 106)]
+    assert {(s.s, s.e) for s in r.added} >= {(0, 61), (107, 168)}
+
+
+def test_long_texts_of_many_matches(spark):
+    import time
+
+    rng = random.Random(3)
+    token = lambda n, letters: "".join(rng.choices(letters, k=n))
+    digests = "\n".join(token(64, "0123456789abcdef") for _ in range(77_000))
+    words = "\n".join(token(40, "ABCDEFGHIJKLMNOPabcdefghijklmnop0123456789") for _ in range(20_000))
+    began = time.perf_counter()
+    from pyspark.sql import functions as F
+
+    rows = scan(spark.createDataFrame([(1, digests), (2, words), (3, "password=" * 500_000), (4, "A" * 5_000_000)], "doc_id long, text string"), keep_text=True)
+    got = {r.doc_id: r for r in rows.select("doc_id", F.size("base").alias("base"), F.size("added").alias("added"), F.length(redact(F.col("text"), F.col("spans"))).alias("n")).collect()}
+    assert got[1].base == 77_000 and got[1].n == 77_000 * 9 - 1 and got[2].added >= 20_000
+    assert time.perf_counter() - began < 60
+
+
 def test_no_python_in_the_plan(spark):
     df = spark.createDataFrame([(1, "a")], "doc_id long, text string")
     plan = scan(df)._jdf.queryExecution().toString()
