@@ -4,8 +4,8 @@ from meshwright.llm import op6_embeddings as m
 
 
 def brute(rows, cosine=0.98):
-    ok = lambda v, lab, i: i is not None and lab is not None and v is not None and all(x is not None and np.isfinite(x) for x in v) and any(x != 0 for x in v)
-    good = [k for k, (i, v, lab) in enumerate(rows) if ok(v, lab, i)]
+    ok = lambda v, lab: lab is not None and v is not None and all(x is not None and np.isfinite(x) for x in v) and any(x != 0 for x in v)
+    good = [k for k, (i, v, lab) in enumerate(rows) if ok(v, lab)]
     links, parent = {k: 0 for k in range(len(rows))}, list(range(len(rows)))
 
     def root(x):
@@ -44,17 +44,51 @@ def check(spark, rows):
     df = spark.createDataFrame([(*r, "x", 1) for r in rows], "vec_id long, embedding array<float>, label int, rep string, n int")
     got = m.near_duplicates(df).collect()
     assert sorted(((r.vec_id is None, r.vec_id or 0), r.n_links, str(r.component_id)) for r in got) == sorted(((i is None, i or 0), n, str(c)) for i, n, c in brute(rows))
-    assert all(r.kept == (r.vec_id == r.component_id) for r in got if r.vec_id is not None)
+    assert all(r.kept == (r.vec_id is not None and r.vec_id == r.component_id) for r in got)
 
 
 def test_equals_brute_force(spark):
     check(spark, vectors())
 
 
-def test_large_cells_are_cut(spark, monkeypatch):
-    monkeypatch.setattr(m, "CELL", 7)
+def test_large_groups_are_refined_and_cut(spark, monkeypatch):
+    monkeypatch.setattr(m, "ROWS", 7)
     check(spark, vectors(2, 10))
 
 
+def test_refined_cells_of_random_vectors(spark, monkeypatch):
+    monkeypatch.setattr(m, "ROWS", 60)
+    rng = np.random.default_rng(4)
+    base = rng.normal(size=(150, 32))
+    near = base[:60] + rng.normal(size=(60, 32)) * rng.choice([0.05, 0.15, 0.2], (60, 1))
+    check(spark, [(i, v.astype(np.float32).tolist(), 1) for i, v in enumerate(np.concatenate([base, near]))])
+
+
+def test_repeated_and_missing_ids(spark):
+    a, b, c = [1.0, 0.0, 0.0, 0.0], [0.0, 1.0, 0.0, 0.0], [1.0, 0.01, 0.0, 0.0]
+    check(spark, [(1, a, 0), (1, b, 1), (2, c, 0), (3, b, 1), (None, a, 0), (None, b, 2), (7, a, 0)])
+
+
+def test_huge_and_tiny_vectors(spark):
+    rows = [(1, [1e300, 1e300], 0), (2, [2e-300, 2e-300], 0), (3, [1e300, -1e300], 0)]
+    got = m.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")).collect()
+    assert sorted((r.vec_id, r.n_links, r.component_id) for r in got) == [(1, 1, 1), (2, 1, 1), (3, 0, 3)]
+
+
+def test_few_of_all_pairs_are_compared():
+    rng = np.random.default_rng(3)
+    vec = rng.normal(size=(4000, 64))
+    vec[3000:] = vec[:1000] + rng.normal(size=(1000, 64)) * 0.15
+    tally, got = [], set()
+    for p, q in m.linked_pairs(vec, np.ones(4000, bool), None, -1, 0.98, m.BLOCKS, tally):
+        pairs = list(zip(np.minimum(p, q).tolist(), np.maximum(p, q).tolist()))
+        assert not got.intersection(pairs)
+        got.update(pairs)
+    x = m.unit(vec)
+    i, j = np.nonzero(np.triu(x @ x.T >= 0.98, 1))
+    assert got == set(zip(i.tolist(), j.tolist())) and len(got) > 300
+    assert sum(tally) < 4000 * 3999 / 2 / 10
+
+
 def test_empty_table(spark):
     assert m.near_duplicates(spark.createDataFrame([], "vec_id long, embedding array<float>, label int")).count() == 0
