@@ -48,14 +48,14 @@ def statistics(text: str, words: list[str], distinct: int, n_chars) -> list[int]
 
 
 class Features:
-    """Feature numbers of whole texts: (word features, statistics); word values are 1/sqrt(count), statistics 1."""
+    """Feature numbers of whole texts: (word features, statistics); word values are 1/sqrt(count), statistics 1. A text of any length has at most BUCKETS word features."""
 
     def __init__(self) -> None:
         self.known: dict[str, int] = {}
 
     def __call__(self, text: str, n_chars) -> tuple[np.ndarray, list[int]]:
         words = text.lower().split()
-        distinct = sorted(set(words))
+        distinct = set(words)
         known = self.known
         if len(known) > 100_000:
             known.clear()
@@ -65,7 +65,7 @@ class Features:
             if h is None:
                 h = known[w] = zlib.crc32(w.encode("utf-8", "surrogatepass")) % BUCKETS
             out[i] = h
-        return out, statistics(text, words, len(distinct), n_chars)
+        return np.unique(out), statistics(text, words, len(distinct), n_chars)
 
 
 class FactorisationMachine:

@@ -1,7 +1,7 @@
 """Toxicity: a bidirectional gated recurrent network with attention pooling, trained in numpy.
 
-A word's input is the sum of a word embedding and of embeddings of its character n-grams, both hashed.
-A document is cut into overlapping windows that cover every word; each window is read by a forward and a backward
+A word's input is the sum of a word embedding and of embeddings of all of its character n-grams, both hashed; a run of letters longer than a
+word is read as overlapping pieces, each a word of its own, so that no character is left out. A document is cut into overlapping windows that cover every word; each window is read by a forward and a backward
 recurrent layer, pooled by attention and scored. The document's score is that of its highest window.
 """
 
@@ -19,28 +19,48 @@ from pyspark.sql import functions as F
 from meshwright.llm.common import held_out_fold, table
 
 WINDOW, STRIDE = 32, 16
-WORD_BUCKETS, GRAM_BUCKETS, GRAMS = 1 << 13, 1 << 13, 14
+WORD_BUCKETS, GRAM_BUCKETS = 1 << 13, 1 << 13
+#: Longest word; longer runs are cut into pieces of so many characters that overlap by half. GRAMS: n-grams of the longest word.
+LONGEST, GRAMS = 20, 24
 DIM, HIDDEN = 12, 8
 FOLDS, HELD_OUT = 3, 1
 #: The fit uses at most so many labelled rows of each class: those with the smallest hash of their id.
 SAMPLE_TOXIC, SAMPLE_CLEAN = 1500, 3000
+#: ... and of each at most so many windows, spread evenly over the text: what reaches the driver is bounded. Scoring has no such bound.
+SAMPLE_WINDOWS = 64
 _WORD = re.compile(r"[^\W_]+")
 
 
+def pieces(run: str) -> list[str]:
+    half = LONGEST // 2
+    return [run] if len(run) <= LONGEST else [run[i : i + LONGEST] for i in range(0, len(run) - half, half)]
+
+
 def words_of(text: str) -> list[str]:
-    return _WORD.findall(text.lower())
+    found = _WORD.findall(text.lower())
+    return found if max(map(len, found), default=0) <= LONGEST else [p for w in found for p in pieces(w)]
+
+
+def strips(text: str, size: int) -> Iterator[list[str]]:
+    """A long text's words, ``size`` and half a window at a time: its windows are those of the strips."""
+    held: list[str] = []
+    for w in _WORD.finditer(text.lower()):
+        held += pieces(w[0])
+        while len(held) >= size + 2 * WINDOW:
+            yield held[: size + STRIDE]
+            held = held[size:]
+    yield held
 
 
 def word_inputs(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """(word bucket, n-gram buckets padded with -1) of distinct words: trigrams, and prefixes and suffixes of 4 and 5."""
-    h = zlib.crc32
+    """(word bucket, n-gram buckets padded with -1) of distinct words: all trigrams, and the prefix and suffix of 4 and 5."""
+    h = lambda x: zlib.crc32(x.encode("utf-8", "surrogatepass"))
     a, b = np.empty(len(words), np.int32), np.full((len(words), GRAMS), -1, np.int32)
     for i, w in enumerate(words):
-        w = w[:64] if len(w) > 64 else w  # a bucket of a word's characters; the word bucket has the whole word
         raw = f"<{w}>"
-        a[i] = h(words[i].encode("utf-8", "surrogatepass")) % WORD_BUCKETS
-        grams = [raw[:5], raw[:6], raw[-5:], *(raw[k : k + 3] for k in range(min(len(raw) - 2, GRAMS - 3)))]
-        b[i, : len(grams)] = [h(g.encode("utf-8", "surrogatepass")) % GRAM_BUCKETS for g in grams]
+        a[i] = h(w) % WORD_BUCKETS
+        grams = [raw[:5], raw[:6], raw[-5:], raw[-6:], *(raw[k : k + 3] for k in range(len(raw) - 2))]
+        b[i, : len(grams)] = [h(g) % GRAM_BUCKETS for g in grams]
     return a, b
 
 
@@ -168,55 +188,91 @@ def windows(docs: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     return (np.concatenate(rows), np.concatenate(owner)) if rows else (np.empty((0, WINDOW), np.int64), np.empty(0, np.int64))
 
 
-def fit_texts(texts: list[str], y: np.ndarray, epochs: int = 9, batch: int = 96, rate: float = 0.012, seed: int = 3) -> BiGru:
-    """Adam on windows: at first random ones, then each document's highest and a random one of each clean document."""
+def fit_texts(texts: list[list[str]], y: np.ndarray, epochs: int = 9, batch: int = 128, rate: float = 0.012, seed: int = 3) -> BiGru:
+    """Adam on windows of the runs of words in ``texts`` (a list a document): at first random ones, then each document's highest and a random one of each clean document.
+
+    A tenth of the documents (by their order) only says when to stop: when two epochs in a row bring no lower loss of their highest windows.
+    The parameters of the best epoch are kept.
+    """
     model, rng = BiGru(), np.random.default_rng(seed)
     if not len(texts):
         return model
     vocab: dict[str, int] = {}
-    docs = [np.array([vocab.setdefault(w, len(vocab)) for w in words_of(t)], np.int64) for t in texts]
+    runs = [[np.array([vocab.setdefault(w, len(vocab)) for w in words_of(t)], np.int64) for t in runs or [""]] for runs in texts]
     word, grams = word_inputs(list(vocab))
-    index, owner = windows(docs)
-    first = np.searchsorted(owner, np.arange(len(docs)))
-    count = np.bincount(owner, minlength=len(docs))
+    index, run = windows([r for one in runs for r in one])
+    owner = np.repeat(np.arange(len(runs)), [len(one) for one in runs])[run]
+    first = np.searchsorted(owner, np.arange(len(runs)))
+    count = np.bincount(owner, minlength=len(runs))
+    judge = np.arange(len(runs)) % 10 == 9 if len(runs) >= 200 else np.zeros(len(runs), bool)
+    y = np.asarray(y, np.float32)
     m, v, step = {k: np.zeros_like(a) for k, a in model.p.items()}, {k: np.zeros_like(a) for k, a in model.p.items()}, 0
+    best, kept, idle = np.inf, None, 0
     for epoch in range(epochs):
         pick = first + rng.integers(0, count)
         if epoch < 2:
-            chosen = np.concatenate([pick, first + rng.integers(0, count)])
+            chosen = np.concatenate([pick[~judge], (first + rng.integers(0, count))[~judge]])
         else:
             logit = model.logits(model.project(model.embed(word, grams)), index)
-            order = np.lexsort((logit, owner))
-            chosen = np.concatenate([order[first + count - 1], pick[y == 0]])
+            top = np.lexsort((logit, owner))[first + count - 1]
+            if judge.any():
+                z = logit[top[judge]].astype(float)
+                loss = float(np.mean(np.logaddexp(0, z) - y[judge] * z))
+                if loss < best - 1e-4:
+                    best, kept, idle = loss, {k: a.copy() for k, a in model.p.items()}, 0
+                else:
+                    idle += 1
+                    if idle == 2:
+                        break
+            chosen = np.concatenate([top[~judge], pick[~judge & (y == 0)]])
         for take in np.array_split(rng.permutation(chosen), max(1, len(chosen) // batch)):
             used, back = np.unique(index[take], return_inverse=True)
             back = back.reshape(len(take), WINDOW) - int(used[0] < 0)
             used = used[used >= 0]
             if not len(used):
                 continue
-            g = model.gradients(word[used], grams[used], back, y[owner[take]].astype(np.float32))
+            g = model.gradients(word[used], grams[used], back, y[owner[take]])
             step += 1
             for k in model.p:
-                m[k] = 0.9 * m[k] + 0.1 * g[k]
-                v[k] = 0.999 * v[k] + 0.001 * g[k] * g[k]
+                m[k] += 0.1 * (g[k] - m[k])
+                v[k] += 0.001 * (g[k] * g[k] - v[k])
                 model.p[k] -= rate * (0.5 if epoch > epochs - 4 else 1.0) * (m[k] / (1 - 0.9**step)) / (np.sqrt(v[k] / (1 - 0.999**step)) + 1e-6)
+    if kept is not None and idle:
+        model.p = kept
     return model
 
 
+def sample_runs(text: str, most: int = SAMPLE_WINDOWS) -> list[str]:
+    """A text's words as one run, or ``most`` windows of them spread evenly over it."""
+    ws = words_of(text)
+    starts = window_starts(len(ws))
+    if len(starts) <= most:
+        return [" ".join(ws)]
+    return [" ".join(ws[s : s + WINDOW]) for s in (starts[i * (len(starts) - 1) // (most - 1)] for i in range(most))]
+
+
 def fit(docs: DataFrame, labels: DataFrame, toxic: int = SAMPLE_TOXIC, clean: int = SAMPLE_CLEAN) -> BiGru:
     y = labels.where(F.col("doc_id").isNotNull()).where(held_out_fold("doc_id", FOLDS) != HELD_OUT).groupBy("doc_id").agg(F.max(F.col("toxic").cast("int")).alias("y"))
     some = lambda value, n: y.where(F.col("y") == value).orderBy(F.xxhash64("doc_id"), "doc_id").limit(n)
     chosen = some(1, toxic).unionByName(some(0, clean))
     text = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            yield batch.assign(text=[sample_runs(t) for t in batch["text"]])
+
+    rows = text.join(F.broadcast(chosen), "doc_id").mapInPandas(run, "doc_id long, text array<string>, y int")
     # an id counts once, however often its row is repeated
-    found = text.join(F.broadcast(chosen), "doc_id").groupBy("doc_id").agg(F.min("text").alias("text"), F.max("y").alias("y")).toPandas().sort_values("doc_id", kind="stable")
-    return fit_texts(list(found["text"]), found["y"].to_numpy(np.float32))
+    found = rows.groupBy("doc_id").agg(F.min("text").alias("text"), F.max("y").alias("y")).toPandas().sort_values("doc_id", kind="stable")
+    return fit_texts([list(t) for t in found["text"]], found["y"].to_numpy(np.float32))
 
 
 class Scorer:
     """Scores whole texts; keeps the projected inputs of words seen so far, bounded, per task."""
 
     LIMIT = 250_000
+    #: Texts of more characters are scored strip by strip, so many words (a multiple of the stride) at a time.
+    LONG, STRIP = 1 << 20, 1 << 16
 
     def __init__(self, model: BiGru):
         self.model, self.known = model, {}
@@ -231,39 +287,47 @@ class Scorer:
             self.table_ = np.concatenate([self.table_, np.zeros_like(self.table_)])
         self.table_[at : at + len(rows)] = rows
 
+    def highest(self, docs: list[list[str]]) -> np.ndarray:
+        """The highest logit of each list of words."""
+        if len(self.known) > self.LIMIT:
+            self.known.clear()
+        rows, fresh, known = [], [], self.known
+        for ws in docs:
+            ids = np.empty(len(ws), np.int64)
+            for k, w in enumerate(ws):
+                i = known.get(w)
+                if i is None:
+                    i = known[w] = len(known)
+                    fresh.append(w)
+                ids[k] = i
+            rows.append(ids)
+        self.add(fresh)
+        index, owner = windows(rows)
+        top = np.full(len(docs), -np.inf)
+        np.maximum.at(top, owner, self.model.logits(self.table_, index))
+        return top
+
     def __call__(self, texts: list[str]) -> np.ndarray:
-        out = np.empty(len(texts))
-        at = 0
+        top, at = np.empty(len(texts)), 0
         while at < len(texts):
-            if len(self.known) > self.LIMIT:
-                self.known.clear()
-            docs, total, begin, fresh, known = [], 0, at, [], self.known
-            while at < len(texts) and total < 60_000:
-                ws = words_of(texts[at])
-                ids = np.empty(len(ws), np.int64)
-                for k, w in enumerate(ws):
-                    i = known.get(w)
-                    if i is None:
-                        i = known[w] = len(known)
-                        fresh.append(w)
-                    ids[k] = i
-                docs.append(ids)
-                total += len(ws)
+            if len(texts[at]) > self.LONG:
+                top[at] = max(self.highest([ws])[0] for ws in strips(texts[at], self.STRIP))
                 at += 1
-            self.add(fresh)
-            index, owner = windows(docs)
-            logit = self.model.logits(self.table_, index)
-            top = np.full(len(docs), -np.inf)
-            np.maximum.at(top, owner, logit)
-            out[begin:at] = 1 / (1 + np.exp(-np.clip(top, -30, 30)))
-        return out
+                continue
+            docs, total = [], 0
+            while at + len(docs) < len(texts) and total < 60_000 and len(texts[at + len(docs)]) <= self.LONG:
+                docs.append(words_of(texts[at + len(docs)]))
+                total += len(docs[-1])
+            top[at : at + len(docs)] = self.highest(docs)
+            at += len(docs)
+        return 1 / (1 + np.exp(-np.clip(top, -30, 30)))
 
 
 def score(docs: DataFrame, model: BiGru, threshold: float = 0.7) -> DataFrame:
     """One row per document: doc_id, held_out, score, predicted.
 
     Null text counts as empty (a window without words); a null id has held_out null; repeated rows are scored as
-    often as they occur; an empty table gives no rows; other columns are ignored.
+    often as they occur; a very long text is scored in all of its windows, strip by strip; an empty table gives no rows; other columns are ignored.
     """
 
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
