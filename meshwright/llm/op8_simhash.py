@@ -23,7 +23,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meshwright.llm.common import connected_components, cut, table
+from meshwright.llm.common import connected_components, cut, table, written
 
 WORDS, DISTANCE, SEED = 4, 4, 42
 SEGMENTS = ((0, 22), (22, 21), (43, 21))
@@ -178,11 +178,13 @@ def links(fps: DataFrame, distance: int = DISTANCE) -> DataFrame:
         raise ValueError("the keys find up to 4 differing bits")
     # a fingerprint becomes about a hundred rows, so the few bytes of ``fps`` are dealt to more tasks than their size asks for
     rows = fps.select("fp").repartition(max(1, -(-fps.count() // DEALT)), "fp").mapInPandas(bucket_rows, "key long, side byte, fp long")
+    rows = written(rows, "keys")  # made once, and read for the sizes and for the join
     sizes = rows.groupBy("key").agg(F.count("*").alias("n"), F.max("side").alias("hi"), F.min("side").alias("lo"), F.min("fp").alias("a"), F.max("fp").alias("b"))
-    sizes = sizes.where("a <> b and (hi = 2 or lo < hi)").select("key", F.ceil(F.col("n") / BUCKET).cast("int").alias("blocks"))
+    # apart from the join, so that a hot bucket's partition can be split there
+    sizes = written(sizes.where("a <> b and (hi = 2 or lo < hi)").select("key", F.ceil(F.col("n") / BUCKET).cast("int").alias("blocks")), "sizes")
     block = F.pmod(F.xxhash64("fp"), F.col("blocks")).cast("int")
     pairs = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda o: F.struct(F.least(o, block).alias("x"), F.greatest(o, block).alias("y")))
-    rows = rows.join(sizes, "key").select("key", "fp", F.explode(pairs).alias("pair")).select("key", "fp", "pair.x", "pair.y")
+    rows = rows.select("key", "fp").join(sizes, "key").select("key", "fp", F.explode(pairs).alias("pair")).select("key", "fp", "pair.x", "pair.y")
     return rows.repartition("key", "x", "y").sortWithinPartitions("key", "x", "y").mapInPandas(meeting(distance), "u long, v long")
 
 
@@ -190,7 +192,7 @@ def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """One row per document: doc_id, fp, component_id (smallest doc_id reachable).
 
     Null and empty texts have fingerprint 0 and are linked like any other. A null id is kept (its component is
-    that of the documents linked to it); repeated rows stay repeated; an empty table gives no rows.
+    that of the documents linked to it); repeated rows stay repeated; a very long text is one row like any other; an empty table gives no rows; other columns are ignored.
     """
     fps = cut(fingerprints(docs, id_col, text_col, words))
     distinct = cut(fps.groupBy("fp").agg(F.min("doc_id").alias("least")))
