@@ -184,7 +184,7 @@ def links(fps: DataFrame, distance: int = DISTANCE) -> DataFrame:
     sizes = written(sizes.where("a <> b and (hi = 2 or lo < hi)").select("key", F.ceil(F.col("n") / BUCKET).cast("int").alias("blocks")), "sizes")
     block = F.pmod(F.xxhash64("fp"), F.col("blocks")).cast("int")
     pairs = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda o: F.struct(F.least(o, block).alias("x"), F.greatest(o, block).alias("y")))
-    rows = rows.select("key", "fp").join(sizes, "key").select("key", "fp", F.explode(pairs).alias("pair")).select("key", "fp", "pair.x", "pair.y")
+    rows = rows.select("key", "fp").join(sizes.hint("merge"), "key").select("key", "fp", F.explode(pairs).alias("pair")).select("key", "fp", "pair.x", "pair.y")
     return rows.repartition("key", "x", "y").sortWithinPartitions("key", "x", "y").mapInPandas(meeting(distance), "u long, v long")
 
 

@@ -84,6 +84,8 @@ class BiGru:
             self.p |= {f"W{d}": n(DIM, 3 * HIDDEN), f"b{d}": np.zeros(3 * HIDDEN, np.float32), f"U{d}": n(HIDDEN, 3 * HIDDEN)}
 
     def embed(self, word: np.ndarray, grams: np.ndarray) -> np.ndarray:
+        if len(word) > 4096:  # n-grams take much more room than words
+            return np.concatenate([self.embed(word[i : i + 4096], grams[i : i + 4096]) for i in range(0, len(word), 4096)])
         live = grams >= 0
         scale = 1 / np.sqrt(np.maximum(1, live.sum(1, keepdims=True)))
         return self.p["Ew"][word] + (self.p["Eg"][np.where(live, grams, 0)] * live[..., None]).sum(1) * scale
@@ -179,13 +181,13 @@ def windows(docs: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
         n = len(ids)
         if n > WINDOW:
             starts = np.array(window_starts(n))
-            rows.append(ids[starts[:, None] + np.arange(WINDOW)])
+            rows.append(ids[starts[:, None] + np.arange(WINDOW)].astype(np.int32))
         else:
-            one = np.full((1, WINDOW), -1, np.int64)
+            one = np.full((1, WINDOW), -1, np.int32)
             one[0, :n] = ids
             rows.append(one)
         owner.append(np.full(len(rows[-1]), k))
-    return (np.concatenate(rows), np.concatenate(owner)) if rows else (np.empty((0, WINDOW), np.int64), np.empty(0, np.int64))
+    return (np.concatenate(rows), np.concatenate(owner)) if rows else (np.empty((0, WINDOW), np.int32), np.empty(0, np.int64))
 
 
 def fit_texts(texts: list[list[str]], y: np.ndarray, epochs: int = 9, batch: int = 128, rate: float = 0.012, seed: int = 3) -> BiGru:
