@@ -73,6 +73,7 @@ def softmax(x: np.ndarray) -> np.ndarray:
 
 def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Softmax:
     pair = F.col("quality").cast("int") * 2 + F.col("toxic").cast("int")
+    labels = labels.where(F.col("quality").cast("int").isin(0, 1) & F.col("toxic").cast("int").isin(0, 1))
     rows, y = sample_rows(docs, labelled_sample(labels, pair, 1, -1, sample))
     return Softmax(len(DOMAINS)).fit(rows, np.array(y, np.int64))
 
@@ -190,19 +191,19 @@ def fit_rates(table_: DataFrame, target: dict[str, float] | None = None, volume:
 def mix(docs: DataFrame, labels: DataFrame, target: dict[str, float] | None = None, volume: float = VOLUME) -> DataFrame:
     """One row per document: doc_id, tokens, p (domain posteriors), rate (nonnegative).
 
-    Null text counts as empty (no tokens: it has a rate but no weight); null labels are left out of the fit; a null id is
-    kept; repeated rows have equal rates; an empty table gives no rows; other columns are ignored.
+    Tokens are words here, not the ids of a tokenizer. Null text counts as empty (no tokens: it has a rate but no weight); labels that are null or neither 0 nor 1 are
+    left out of the fit; a null id is kept; repeated rows have equal rates; a very long text counts in full; an empty table gives no rows; other columns are ignored.
     """
     got = written(posteriors(docs, fit(docs, labels)), "posteriors")
     return got.withColumn("rate", rate(fit_rates(got, target, volume)))
 
 
-def copies(rate_col, id_col):
-    """Times that a document is taken: its rate's whole part, and one more with the rest's probability, by the id's hash."""
-    u = F.pmod(F.xxhash64(F.lit("mix"), id_col), F.lit(1 << 30)) / float(1 << 30)
+def copies(rate_col, id_col, *more):
+    """Times that a document is taken: its rate's whole part, and one more with the rest's probability, by the hash of the id and of ``more`` (what tells rows without an id apart)."""
+    u = F.pmod(F.xxhash64(F.lit("mix"), id_col, *more), F.lit(1 << 30)) / float(1 << 30)
     return F.floor(rate_col + u).cast("int")
 
 
 def op10_soft_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     got = mix(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
-    return got.select("doc_id", "tokens", *[F.get("p", F.lit(i)).alias(f"p_{d}") for i, d in enumerate(DOMAINS)], "rate", copies(F.col("rate"), F.col("doc_id")).alias("copies"))
+    return got.select("doc_id", "tokens", *[F.get("p", F.lit(i)).alias(f"p_{d}") for i, d in enumerate(DOMAINS)], "rate", copies(F.col("rate"), F.col("doc_id"), F.col("p")).alias("copies"))

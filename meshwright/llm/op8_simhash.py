@@ -23,7 +23,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meshwright.llm.common import connected_components, cut, table, written
+from meshwright.llm.common import connected_components, table, written
 
 WORDS, DISTANCE, SEED = 4, 4, 42
 SEGMENTS = ((0, 22), (22, 21), (43, 21))
@@ -91,14 +91,14 @@ def fingerprint(text: str, words: int = WORDS) -> int:
     return int(((2 * counts > k).astype(np.uint64) << np.arange(64, dtype=np.uint64)).sum(dtype=np.uint64))
 
 
-def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS) -> DataFrame:
-    """(doc_id, fp): the fingerprint as a signed long; null text counts as empty."""
+def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, carry: tuple[str, ...] = ()) -> DataFrame:
+    """(doc_id, the columns named in ``carry``, fp): the fingerprint as a signed long; null text counts as empty."""
 
     @F.pandas_udf("long")
     def simhash(texts: pd.Series) -> pd.Series:
         return pd.Series(np.array([fingerprint(t, words) for t in texts], np.uint64).view(np.int64))
 
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), simhash(F.coalesce(F.col(text_col).cast("string"), F.lit(""))).alias("fp"))
+    return docs.select(F.col(id_col).cast("long").alias("doc_id"), *carry, simhash(F.coalesce(F.col(text_col).cast("string"), F.lit(""))).alias("fp"))
 
 
 def bucket_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -188,20 +188,43 @@ def links(fps: DataFrame, distance: int = DISTANCE) -> DataFrame:
     return rows.repartition("key", "x", "y").sortWithinPartitions("key", "x", "y").mapInPandas(meeting(distance), "u long, v long")
 
 
+def named_components(fps: DataFrame, distance: int = DISTANCE) -> DataFrame:
+    """(fp, component) of every distinct fingerprint of ``fps``: the component is its smallest fingerprint."""
+    distinct = written(fps.select("fp").distinct(), "distinct")
+    comp = connected_components(links(distinct, distance))
+    return written(distinct.join(comp.withColumnRenamed("node", "fp"), "fp", "left").withColumn("component", F.coalesce("component", "fp")), "named")
+
+
 def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, distance: int = DISTANCE) -> DataFrame:
     """One row per document: doc_id, fp, component_id (smallest doc_id reachable).
 
     Null and empty texts have fingerprint 0 and are linked like any other. A null id is kept (its component is
     that of the documents linked to it); repeated rows stay repeated; a very long text is one row like any other; an empty table gives no rows; other columns are ignored.
     """
-    fps = cut(fingerprints(docs, id_col, text_col, words))
-    distinct = cut(fps.groupBy("fp").agg(F.min("doc_id").alias("least")))
-    comp = connected_components(links(distinct, distance))
-    named = cut(distinct.join(comp.withColumnRenamed("node", "fp"), "fp", "left").withColumn("component", F.coalesce("component", "fp")))
-    least = cut(named.groupBy("component").agg(F.min("least").alias("component_id")))  # apart from the join, whose large components can then be split
+    fps = written(fingerprints(docs, id_col, text_col, words), "fingerprints")
+    named = named_components(fps, distance)
+    of_fp = fps.groupBy("fp").agg(F.min("doc_id").alias("least"))
+    least = written(named.join(of_fp, "fp").groupBy("component").agg(F.min("least").alias("component_id")), "least")  # apart from the join, whose large components can then be split
     return fps.join(named.join(least, "component").select("fp", "component_id"), "fp").select("doc_id", "fp", "component_id")
 
 
+def keepers(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, distance: int = DISTANCE) -> DataFrame:
+    """One row of ``docs`` of each component, with all columns: that of the least id (null ids last), among rows of one id that of the least digest of its text.
+
+    Rows are told apart by id and text, so an id that is repeated with another text is another document. Of rows with equal id and text, the one with the least hash of
+    all columns stays; they are combined before the shuffle, so a row that is repeated very often goes to no task in full. Null and empty texts are equal.
+    """
+    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
+    digest = F.sha2(text, 256)
+    key = F.concat_ws(":", F.coalesce(F.col(id_col).cast("string"), F.lit("null")), digest)
+    marked = docs.select(F.col(id_col).cast("long").alias("doc_id"), text.alias("text"), digest.alias("digest"), key.alias("key"))
+    fps = written(fingerprints(marked, "doc_id", "text", words, ("digest", "key")), "fingerprints")
+    best = fps.join(named_components(fps, distance), "fp").groupBy("component").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "digest", "key")).alias("b"))
+    keep = written(best.select(F.col("b.key").alias("_key")), "kept")
+    rows = docs.groupBy(key.alias("_key")).agg(F.min_by(F.struct(*docs.columns), F.xxhash64(*docs.columns)).alias("_row"))
+    return rows.join(keep, "_key", "left_semi").select("_row.*")
+
+
 def op8_simhash_golay(spark: SparkSession, sf_dir: str) -> DataFrame:
     got = components(table(spark, sf_dir, "documents"))
     return got.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")

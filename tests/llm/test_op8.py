@@ -4,7 +4,7 @@ import numpy as np
 import xxhash
 
 from meshwright.llm import op8_simhash as m
-from meshwright.llm.op8_simhash import components, decode, fingerprint, fingerprints, flips, links
+from meshwright.llm.op8_simhash import keepers, components, decode, fingerprint, fingerprints, flips, links
 
 
 def slow_fingerprint(text):
@@ -99,3 +99,15 @@ def test_components_with_nulls_copies_and_extra_columns(spark):
     assert {r.doc_id: r.component_id for r in got if r.doc_id is not None} == want
     assert next(r.component_id for r in got if r.doc_id is None) == want[1]
     assert components(df.limit(0)).count() == 0
+
+
+def test_rows_are_kept_by_id_and_text(spark):
+    rng = random.Random(6)
+    a, b, c = (" ".join(rng.choices([f"w{i}" for i in range(400)], k=300)) for _ in range(3))
+    near = b.replace(b.split()[40], "changed", 1)
+    rows = [(1, a, "x"), (7, a, "x"), (7, b, "y"), (7, b, "x"), (3, near, "z"), (None, c, "x"), (None, c, "x"), (None, near, "x"), (9, None, "x"), (10, "", "x")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = sorted(map(tuple, keepers(df).collect()), key=str)
+    assert got == sorted([(1, a, "x"), (3, near, "z"), (None, c, "x"), (9, None, "x")], key=str)
+    swapped = sorted(map(tuple, keepers(df.where("doc_id = 7 or doc_id = 1")).collect()), key=str)
+    assert [r[:2] for r in swapped] == sorted([(1, a), (7, b)], key=str) and keepers(df.limit(0)).count() == 0
