@@ -22,10 +22,8 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group: the one whose id is the component's. Rows with that id are one document; one of them stays. Rows without an id stay."""
-    keep = op8_simhash.components(docs).where("doc_id = component_id").select("doc_id").distinct()
-    named = docs.where("doc_id is not null").join(keep, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return named.select(*COLUMNS).unionByName(docs.where("doc_id is null").select(*COLUMNS))
+    """One row of each group of near copies: the least id's (rows without an id last), then the least text's. Rows that share an id but not their text are different documents."""
+    return op8_simhash.keepers(docs).select(*COLUMNS)
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -58,7 +56,7 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     labels = table(spark, sf_dir, "labels")
     got = written(op10_mixing.posteriors(docs, op10_mixing.fit(docs, labels), carry=[c for c in COLUMNS if c != "doc_id"]), "mixing")
     rate = mixing_rate(got)
-    times = op10_mixing.copies(rate, F.col("doc_id"))
+    times = op10_mixing.copies(rate, F.col("doc_id"), F.col("p"))
     return got.withColumn("times", times).where("times > 0").withColumn("copy", F.explode(F.sequence(F.lit(1), "times"))).select(*COLUMNS)
 
 
