@@ -4,27 +4,36 @@ Shards are built where the documents are read: a bounded number of documents eac
 document, written to the shared folder. Global statistics (documents, mean length, document frequencies of the query terms) come
 from the shards, so their scores agree and the merge of their best rows is exact. Queries go in blocks of bounded size.
 
-Within a shard, documents form ranges of BLOCK consecutive ones. The block maxima of a query's terms are summed by range; ranges are pivots in
-order of that bound, scored in full a few at a time, until no bound reaches the k-th best score known. A task carries that score from shard to shard.
+Within a shard, documents form ranges of BLOCK consecutive ones, and each posting list knows its maximum by range. A query of few terms is searched by
+block-max WAND: cursors on its posting lists, the pivot where the lists' bounds add up to the k-th best score known, a check of the pivot range's maxima,
+and skips. For a query of many terms (a whole document) cursors cost far more than they save, so its ranges are the pivots: bounds of all ranges and queries are
+matrix products, and ranges are scored in order of their bounds until none reaches the k-th best score. A task carries its best rows from shard to shard and gives them out once.
+
+Terms are told apart by 63 bits of a hash.
 """
 
 from __future__ import annotations
 
 import itertools
+import uuid
+from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
+from heapq import heappop, heappush
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from meshwright.llm.common import table, written
+from meshwright.llm.common import shared_dir, table, written
 
 K1, B, TOP = 1.2, 0.75, 10
 BLOCK = 64
-#: A term in at least one of so many documents of a shard is held as a column.
-DENSE = 16
+#: A term in at least one of so many documents of a shard (and in FEW documents) is held as a column.
+DENSE, FEW = 16, 8
+#: Queries of at most so many terms go by cursors.
+SHORT = 12
 #: Bounds and scores are summed in different orders.
 SLACK = 1e-7
 #: A shard is closed at so many documents or postings.
@@ -102,7 +111,7 @@ class Shard:
         at = np.minimum(np.searchsorted(terms, asked), max(0, len(terms) - 1))
         here = np.flatnonzero(terms[at] == asked) if len(terms) else np.empty(0, np.int64)
         start, end = first[at[here]].astype(np.int64), first[at[here] + 1].astype(np.int64)
-        often = (end - start) * DENSE >= len(self.ids)
+        often = (end - start) * DENSE >= max(len(self.ids), FEW * DENSE)  # of few long documents none is: columns would be mostly room
         gain = lambda posts: tf[posts] * (K1 + 1) / (tf[posts] + norm[doc[posts]])
         # columns of frequent terms, and their maxima by range
         self.dense = here[often]
@@ -124,12 +133,83 @@ class Shard:
         self.slot[here[~often]] = np.arange(len(n))
         self.slot_run = np.searchsorted(run[self.run_first], np.arange(len(n) + 1) * np.int64(max(1, self.ranges)))
 
+    def lists(self, terms: np.ndarray) -> list[tuple[list[int], list[float], list[int], list[float]]]:
+        """Posting list of each asked term that occurs here: documents, gains, ranges and their maxima."""
+        out = []
+        for t in terms.tolist():
+            if (c := self.dense_slot[t]) >= 0:
+                doc = np.flatnonzero(self.column[:, c])
+                ranges = np.flatnonzero(self.column_max[:, c])
+                out.append((doc.tolist(), self.column[doc, c].tolist(), ranges.tolist(), self.column_max[ranges, c].tolist()))
+            elif (c := self.slot[t]) >= 0:
+                a, b = self.slot_run[c], self.slot_run[c + 1]
+                post = slice(self.run_first[a], self.run_end[b - 1])
+                out.append((self.doc[post].tolist(), self.gain[post].tolist(), self.run_range[a:b].tolist(), self.run_max[a:b].tolist()))
+            else:
+                out.append(([], [], [], []))
+        return out
+
+    def wand(self, terms: np.ndarray, weights: np.ndarray, floor: float, top: int, seen: list | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, scores) of a query's best documents with a positive score that reaches ``floor``, by block-max WAND. ``seen`` gets the documents scored."""
+        cursors = [[0, w, w * max(gains), docs, gains, ranges, maxima] for (docs, gains, ranges, maxima), w in zip(self.lists(terms), weights.tolist()) if docs and w > 0]
+        end, heap = self.ranges * BLOCK, []  # (score, -id): the worst of the best first
+        at = lambda c: c[3][c[0]] if c[0] < len(c[3]) else end
+
+        def bound(c: list, r: int) -> float:  # of the list's postings in a range
+            k = bisect_left(c[5], r)
+            return c[1] * c[6][k] if k < len(c[5]) and c[5][k] == r else 0.0
+
+        while True:
+            cursors = sorted((c for c in cursors if c[0] < len(c[3])), key=at)
+            total, pivot = 0.0, None
+            for pivot, c in enumerate(cursors):
+                total += c[2]
+                if total >= floor - SLACK:
+                    break
+            else:
+                break
+            doc = at(cursors[pivot])
+            while pivot + 1 < len(cursors) and at(cursors[pivot + 1]) == doc:
+                pivot += 1
+            here = cursors[: pivot + 1]
+            if sum(bound(c, doc // BLOCK) for c in here) >= floor - SLACK:
+                if at(here[0]) < doc:  # cursors before the pivot catch up
+                    for c in here:
+                        c[0] = bisect_left(c[3], doc, c[0])
+                    continue
+                score = sum(c[1] * c[4][c[0]] for c in here)
+                if seen is not None:
+                    seen.append(doc)
+                for c in here:
+                    c[0] += 1
+                if score > 0 and score >= floor - SLACK:
+                    heappush(heap, (score, -int(self.ids[doc])))
+                    if len(heap) > top:
+                        heappop(heap)
+                    if len(heap) == top:
+                        floor = max(floor, heap[0][0])
+            else:  # nothing in this range: skip to the next one, or to the next list's document
+                to = (doc // BLOCK + 1) * BLOCK
+                if pivot + 1 < len(cursors):
+                    to = min(to, at(cursors[pivot + 1]))
+                for c in here:
+                    c[0] = bisect_left(c[3], to, c[0])
+        heap.sort(key=lambda x: (-x[0], -x[1]))
+        return np.array([-i for _, i in heap], np.int64), np.array([s for s, _ in heap], float)
+
     def search(self, queries: list[tuple[np.ndarray, np.ndarray]], floors: np.ndarray, top: int) -> list[tuple[np.ndarray, np.ndarray]]:
         """(ids, scores) of each query's best documents with a positive score that reaches its floor; ties by the smaller id.
 
         ``queries``: positions in the asked terms, and weights. A floor is a score that ``top`` documents are known to reach.
         Ranges are taken in rounds in order of their bounds; in a round, the queries that still need a range share its product.
         """
+        short = [k for k, (terms, _) in enumerate(queries) if len(terms) <= SHORT]
+        if short:
+            out = [self.wand(*queries[k], floors[k], top) if len(queries[k][0]) <= SHORT else None for k in range(len(queries))]
+            rest = [k for k in range(len(queries)) if out[k] is None]
+            for k, got in zip(rest, self.search([queries[k] for k in rest], floors[rest], top) if rest else []):
+                out[k] = got
+            return out
         weight, sparse = np.zeros((len(queries), len(self.dense))), []
         for k, (terms, w) in enumerate(queries):
             at = self.dense_slot[terms]
@@ -188,7 +268,8 @@ def search(docs: DataFrame, queries: DataFrame, top: int = TOP, doc_id: str = "d
 
     A query's weight of a term is its count in the query. Null texts have no words; queries without words in the corpus have no
     rows; rows with a null id are neither searched nor found; repeated document rows are found as often as they
-    occur, repeated query ids are one query each row's text adds to; empty tables give no rows; other columns are ignored.
+    occur, repeated query ids are one query each row's text adds to; a very long text closes its shard (a shard's postings then pass the limit by that text's distinct words);
+    empty tables give no rows; other columns are ignored.
     """
     spark = docs.sparkSession
     text = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("")).alias("text")
@@ -210,11 +291,12 @@ def search(docs: DataFrame, queries: DataFrame, top: int = TOP, doc_id: str = "d
     load = asked.agg(F.count("*").alias("n"), F.coalesce(F.sum(F.size("terms")), F.lit(0)).alias("terms")).first()
     blocks = max(1, -(-load["n"] // QUERY_BLOCK), -(-load["terms"] // QUERY_TERMS))
     asked = asked.withColumn("block", F.pmod(F.xxhash64("query_id"), F.lit(blocks)).cast("int"))
-    found = []
+    found, asked_any = f"{shared_dir(spark).rstrip('/')}/found-{uuid.uuid4().hex}.parquet", False  # one table for all blocks
     for block in range(blocks):
         rows = asked.where(F.col("block") == block).orderBy("query_id").collect()  # a block: bounded
         if not rows:
             continue
+        asked_any = True
         merged: dict[int, Counter] = {}
         for r in rows:
             merged.setdefault(r["query_id"], Counter()).update(dict(zip(r["terms"], r["counts"])))
@@ -244,23 +326,26 @@ def search(docs: DataFrame, queries: DataFrame, top: int = TOP, doc_id: str = "d
 
         def scored(batches: Iterator[pd.DataFrame], sent_queries=sent_queries) -> Iterator[pd.DataFrame]:
             distinct, ask = sent_queries.value
-            best = np.zeros((len(ask), top))  # the best scores in this task so far: the last one is a floor for its other shards
+            # the best rows in this task so far: the last score is a floor for its other shards
+            best = [(np.empty(0, np.int64), np.empty(0))] * len(ask)
+            floors = np.zeros(len(ask))
             for batch in batches:
                 for row in batch.to_dict("records"):
-                    out = Shard(row, mean, distinct).search([x[1:] for x in ask], best[:, -1], top)
-                    for k, (_, scores) in enumerate(out):
-                        if len(scores):
-                            best[k] = -np.sort(-np.concatenate([best[k], scores]))[:top]
-                    yield pd.DataFrame({"query_id": np.repeat([x[0] for x in ask], [len(o[0]) for o in out]).astype(np.int64), "doc_id": np.concatenate([o[0] for o in out]), "score": np.concatenate([o[1] for o in out])})
-
-        found.append(written(index.select("ids", "lengths", "terms", "first", "doc", "tf").mapInPandas(scored, schema), "found"))
+                    for k, (ids, scores) in enumerate(Shard(row, mean, distinct).search([x[1:] for x in ask], floors, top)):
+                        if len(ids):
+                            ids, scores = np.concatenate([best[k][0], ids]), np.concatenate([best[k][1], scores])
+                            order = np.lexsort((ids, -scores))[:top]
+                            best[k] = ids[order], scores[order]
+                            if len(order) == top:
+                                floors[k] = scores[order[-1]]
+            yield pd.DataFrame({"query_id": np.repeat([x[0] for x in ask], [len(o[0]) for o in best]).astype(np.int64), "doc_id": np.concatenate([o[0] for o in best]), "score": np.concatenate([o[1] for o in best])})
+
+        index.select("ids", "lengths", "terms", "first", "doc", "tf").mapInPandas(scored, schema).write.mode("append").parquet(found)
         sent.unpersist()
         sent_queries.unpersist()
-    if not found:
+    if not asked_any:
         return spark.createDataFrame([], "query_id long, rank int, doc_id long, score double")
-    every = found[0]
-    for more in found[1:]:
-        every = every.unionByName(more)
+    every = spark.read.schema(schema).parquet(found)
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "doc_id"))
     return every.withColumn("rank", rank).where(F.col("rank") <= top).select("query_id", "rank", "doc_id", "score")
 

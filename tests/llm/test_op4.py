@@ -1,6 +1,10 @@
 import math
+import random
 from collections import Counter
 
+import numpy as np
+import pandas as pd
+import pytest
 from pyspark.sql import functions as F
 
 from meshwright.llm import op4_search as m
@@ -44,20 +48,48 @@ def test_equals_brute_force_over_many_shards(spark, docs_df, corpus, monkeypatch
     check(got, brute(rows, queries))
 
 
-def test_pruning_skips_ranges(monkeypatch):
-    import numpy as np
-    import pandas as pd
+@pytest.mark.parametrize("short", [0, 10_000])
+def test_cursors_and_ranges_equal_brute_force(spark, docs_df, corpus, monkeypatch, short):
+    monkeypatch.setattr(m, "SHORT", short)
+    monkeypatch.setattr(m, "SHARD_DOCS", 64)
+    monkeypatch.setattr(m, "BLOCK", 8)
+    rows = [(r[0], r[1]) for r in corpus]
+    queries = [r for r in rows if r[0] is not None and r[0] % 25 == 0] + [(2000, "w1 w2 w3"), (2001, "idiot scum"), (2002, "w7"), (2003, "w1 w1 zzz")]
+    df = spark.createDataFrame(queries, "doc_id long, text string")
+    check(m.search(docs_df, df).collect(), brute(rows, queries))
+
+
+def one_shard(rows, query):
+    terms, counts = m.Terms()(query)
+    order = np.argsort(terms)
+    return m.Shard(next(m.build([pd.DataFrame(rows, columns=["doc_id", "text"])])).iloc[0], 4.0, terms[order]), counts[order] * 1.0
 
+
+def test_wand_skips_documents(monkeypatch):
+    monkeypatch.setattr(m, "BLOCK", 8)
+    rng = random.Random(1)
+    rows = [(i, " ".join(["rare"] * (i % 97 == 5) + ["common"] * rng.randint(1, 3) + rng.choices([f"f{j}" for j in range(50)], k=5))) for i in range(800)]
+    shard, weights = one_shard(rows, "rare common f3")
+    weights *= [8.0 if w == "rare" else 1.0 for w in sorted("rare common f3".split(), key=lambda w: m.Terms()(w)[0][0])]
+    seen = []
+    ids, scores = shard.wand(np.arange(3), weights, 0.0, 5, seen)
+    assert all(i % 97 == 5 for i in ids) and len(seen) < 150
+    monkeypatch.setattr(m, "SHORT", 0)
+    [(want, want_scores)] = shard.search([(np.arange(3), weights)], np.zeros(1), 5)
+    assert ids.tolist() == want.tolist() and np.allclose(scores, want_scores)
+    assert len(shard.wand(np.arange(3), weights, scores[0] + 1, 5)[0]) == 0
+
+
+def test_pruning_skips_ranges(monkeypatch):
     monkeypatch.setattr(m, "BLOCK", 8)
+    monkeypatch.setattr(m, "SHORT", 0)
     rows = [(i, "rare common" if i == 77 else "common filler words here") for i in range(400)]
-    terms, counts = m.Terms()("rare common")
-    order = np.argsort(terms)
-    shard = m.Shard(next(m.build([pd.DataFrame(rows, columns=["doc_id", "text"])])).iloc[0], 4.0, terms[order])
+    shard, weights = one_shard(rows, "rare common")
     seen, real = [], m.spans
     monkeypatch.setattr(m, "spans", lambda a, b: seen.append(1) or real(a, b))
-    [(ids, scores)] = shard.search([(np.arange(2), counts[order] * 1.0)], np.zeros(1), 1)
+    [(ids, scores)] = shard.search([(np.arange(2), weights)], np.zeros(1), 1)
     assert ids.tolist() == [77] and len(seen) <= 3
-    assert [len(x[0]) for x in shard.search([(np.arange(2), counts[order] * 1.0)], np.array([scores[0] + 1]), 1)] == [0]
+    assert [len(x[0]) for x in shard.search([(np.arange(2), weights)], np.array([scores[0] + 1]), 1)] == [0]
 
 
 def test_empty_tables_and_unknown_words(spark, docs_df):
