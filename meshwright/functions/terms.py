@@ -22,6 +22,13 @@ JSON_TYPES = {"string": "string", "number": "decimal", "integer": "integer", "bo
 #: Characters that a sanitised name can't hold.
 UNSAFE = " -./\\()[]{}<>&@#%?="
 BOOLEAN_TOKENS = ("true", "false", "yes", "no", "0", "1", "t", "f", "y", "n")
+#: Whole numbers with single underscores between digits; decimal or scientific numbers, ``nan`` and ``inf``.
+INTEGER_PATTERN = r"[+-]?[0-9]+(_[0-9]+)*"
+DECIMAL_PATTERN = r"(?i)[+-]?(([0-9]+(_[0-9]+)*)(\.([0-9]+(_[0-9]+)*)?)?(e[+-]?[0-9]+)?|\.[0-9]+(_[0-9]+)*(e[+-]?[0-9]+)?|nan|inf|infinity)"
+#: What a user's XML Schema type is by what its name (in lower case) holds; the first rule that fits counts, others are strings.
+SIMPLE_TYPE_RULES = (
+    ("integer", "int|long|short|byte"), ("decimal", "decimal|float|double|number"), ("dateTime", "date.*time|time.*date"), ("date", "^date$"), ("time", "time"), ("boolean", "bool"), ("anyURI", "uri"),
+)
 #: Alignment types that are mapping predicates by name; others are relatedMatch.
 ALIGNMENT_PREDICATES = ("exactMatch", "closeMatch", "broadMatch", "narrowMatch")
 
@@ -79,18 +86,9 @@ def xsd_of_json(c: Column) -> Column:
 
 def xsd_of_simple(c: Column) -> Column:
     """Range of an XSD simple type by its base's local name: a builtin by itself, others by what their name holds."""
-    n = F.lower(c)
-    has = lambda *words: n.rlike("|".join(words))
-    kind = (
-        F.when(has("int", "long", "short", "byte"), "integer")
-        .when(has("decimal", "float", "double", "number"), "decimal")
-        .when(n.contains("date") & n.contains("time"), "dateTime")
-        .when(n == "date", "date")
-        .when(n.contains("time"), "time")
-        .when(n.contains("bool"), "boolean")
-        .when(n.contains("anyuri") | n.contains("uri"), "anyURI")
-        .otherwise("string")
-    )
+    n, kind = F.lower(c), F.lit("string")
+    for found, pattern in reversed(SIMPLE_TYPE_RULES):
+        kind = F.when(n.rlike(pattern), found).otherwise(kind)
     return F.concat(F.lit(XSD), kind)
 
 
@@ -133,13 +131,11 @@ def boolean_token(c: Column) -> Column:
 
 
 def integer_token(c: Column) -> Column:
-    """Decimal integers with an optional sign and single underscores between digits."""
-    return F.trim(c).rlike(r"^[+-]?[0-9]+(_[0-9]+)*$")
+    return F.trim(c).rlike(f"^(?:{INTEGER_PATTERN})$")
 
 
 def decimal_token(c: Column) -> Column:
-    """Decimal or scientific numbers, ``nan`` and ``inf``."""
-    return F.trim(c).rlike(r"(?i)^[+-]?(([0-9]+(_[0-9]+)*)(\.([0-9]+(_[0-9]+)*)?)?(e[+-]?[0-9]+)?|\.[0-9]+(_[0-9]+)*(e[+-]?[0-9]+)?|nan|inf|infinity)$")
+    return F.trim(c).rlike("(?i)^(?:" + DECIMAL_PATTERN.removeprefix("(?i)") + ")$")
 
 
 def date_like(c: Column) -> Column:

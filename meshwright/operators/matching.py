@@ -51,6 +51,11 @@ def _sides(source: DataFrame, target: DataFrame) -> tuple[DataFrame, DataFrame]:
     return a, b
 
 
+def let(value, body):
+    """``body`` of the value, which is computed once, also where ``body`` uses it inside lambdas."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 class LexicalExact(Matcher):
     name = "LexicalExact"
 
@@ -60,8 +65,22 @@ class LexicalExact(Matcher):
         return self.rows(pairs, F.lit("skos:exactMatch"), "equal labels")
 
 
+def _rare_first(a: DataFrame, b: DataFrame, tokens) -> tuple[DataFrame, DataFrame]:
+    """Both sides with ``w``: their distinct tokens, those that occur in the fewest labels of their kind first. Frequencies are a grouped count, joined back to the tokens."""
+    split = lambda df, ident, text: df.select(F.col(ident).alias("id"), "kind", F.explode(tokens(F.col(text))).alias("token"))
+    left, right = split(a, "subject_id", "a"), split(b, "object_id", "b")
+    seen = left.unionByName(right).groupBy("kind", "token").agg(F.count("*").alias("n"))
+
+    def ordered(rows: DataFrame, df: DataFrame, ident: str) -> DataFrame:
+        found = rows.join(seen, ["kind", "token"]).groupBy("id", "kind").agg(F.transform(F.array_sort(F.collect_list(F.struct("n", "token"))), lambda x: x["token"]).alias("w"))
+        return df.join(found.withColumnRenamed("id", ident), [ident, "kind"])
+
+    return ordered(left, a, "subject_id"), ordered(right, b, "object_id")
+
+
 class TokenJaccard(Matcher):
-    """Labels that share words; candidates come from a join on words, never from all pairs."""
+    """Labels that share words. Two labels of m and s words reach the threshold only with o common words, so they share one of the m - o + 1 rarest of
+    the one and of the s - o + 1 rarest of the other: candidates come from a join on those and on both sizes, never from a common word alone."""
 
     name = "TokenJaccard"
 
@@ -69,34 +88,62 @@ class TokenJaccard(Matcher):
         self.threshold = threshold
 
     def align(self, source: DataFrame, target: DataFrame) -> DataFrame:
-        a, b = _sides(source, target)
-        split = lambda df, side, ident: df.select(ident, "kind", F.array_distinct(F.split(side, " ")).alias("w")).select(ident, "kind", F.size("w").alias(f"n_{side}"), F.explode("w").alias("word"))
-        shared = split(a, "a", "subject_id").join(split(b, "b", "object_id"), ["kind", "word"]).groupBy("subject_id", "object_id", "n_a", "n_b").agg(F.count("*").alias("both"))
-        pairs = shared.withColumn("score", F.col("both") / (F.col("n_a") + F.col("n_b") - F.col("both"))).where(F.col("score") >= self.threshold)
+        t = F.lit(self.threshold)
+        a, b = _rare_first(*_sides(source, target), lambda c: F.array_distinct(F.split(c, " ")))
+
+        def keys(df: DataFrame, mine: str, other: str) -> DataFrame:
+            size = F.size("w")
+            sizes = F.sequence(F.greatest(F.lit(1), F.ceil(t * size - 1e-9).cast("int")), F.floor(size / t + 1e-9).cast("int"))
+            df = df.withColumn(mine, size).withColumn(other, F.explode(sizes))
+            common = F.ceil(t / (1 + t) * (F.col(mine) + F.col(other)) - 1e-9).cast("int")
+            return df.withColumn("token", F.explode(F.slice("w", F.lit(1), F.greatest(F.lit(0), F.col(mine) - common + 1))))
+
+        left = keys(a, "m", "s").select("kind", "token", "m", "s", "subject_id", F.col("w").alias("x"))
+        right = keys(b, "s", "m").select("kind", "token", "m", "s", "object_id", F.col("w").alias("y"))
+        cand = left.join(right, ["kind", "token", "m", "s"]).select("subject_id", "object_id", "x", "y").distinct()
+        both = F.size(F.array_intersect("x", "y"))
+        pairs = cand.withColumn("score", both / (F.size("x") + F.size("y") - both)).where(F.col("score") >= self.threshold)
         return self.rows(pairs, F.when(F.col("score") >= 1.0, "skos:exactMatch").otherwise("skos:closeMatch"), "shared words")
 
 
 class EditDistance(Matcher):
-    """Labels whose edit distance is at most a share of the longer one's length, among those that share a trigram."""
+    """Labels whose edit distance is at most a share of the longer one's length.
+
+    An edit changes at most q of a label's q-grams (which are numbered when they repeat), so labels within k edits share one of the kq + 1 rarest of
+    each: candidates come from a join on those, complete for every threshold: q is 2 where that many edits leave a common pair of letters, else 1.
+    """
 
     name = "EditDistance"
 
     def __init__(self, threshold: float = 0.8):
-        self.threshold = threshold
+        if not 0 < threshold <= 1:
+            raise ValueError("the threshold must be above 0 and at most 1")
+        self.threshold, self.q = threshold, 2 if threshold >= 2 / 3 else 1
+
+    def grams(self, c):
+        whole = F.transform(F.sequence(F.lit(1), F.greatest(F.lit(1), F.length(c) - self.q + 1)), lambda i: F.substr(c, i, F.lit(self.q)))
+        return let(whole, lambda g: F.transform(g, lambda x, i: F.concat(x, F.lit("#"), F.size(F.filter(F.slice(g, F.lit(1), i), lambda y: y == x)).cast("string"))))
 
     def align(self, source: DataFrame, target: DataFrame) -> DataFrame:
-        a, b = _sides(source, target)
-        grams = lambda c: F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(F.lit(1), F.length(c) - 2)), lambda i: F.substr(c, i, F.lit(3))))
-        left, right = a.withColumn("g", F.explode(grams(F.col("a")))), b.withColumn("g", F.explode(grams(F.col("b"))))
-        close = F.abs(F.length("a") - F.length("b")) <= (1 - self.threshold) * F.greatest(F.length("a"), F.length("b")) + 1e-9
-        cand = left.join(right, ["kind", "g"]).where(close).select("subject_id", "object_id", "a", "b").distinct()
-        pairs = cand.withColumn("score", 1 - F.levenshtein("a", "b") / F.greatest(F.length("a"), F.length("b"))).where(F.col("score") >= self.threshold - 1e-9)
+        a, b = _rare_first(*_sides(source, target), self.grams)
+        # edits that a partner of any allowed length may have
+        edits = lambda c: F.floor((1 - self.threshold) / self.threshold * F.length(c) + 1e-9).cast("int")
+        keys = lambda df, c: df.withColumn("g", F.explode(F.slice("w", F.lit(1), edits(F.col(c)) * self.q + 1)))
+        longer = F.greatest(F.length("a"), F.length("b"))
+        close = F.abs(F.length("a") - F.length("b")) <= (1 - self.threshold) * longer + 1e-9
+        cand = keys(a, "a").drop("w").join(keys(b, "b").drop("w"), ["kind", "g"]).where(close).select("subject_id", "object_id", "a", "b").distinct()
+        pairs = cand.withColumn("score", 1 - F.levenshtein("a", "b") / longer).where(F.col("score") >= self.threshold - 1e-9)
         return self.rows(pairs, F.when(F.col("score") >= 1.0, "skos:exactMatch").otherwise("skos:closeMatch"), "edit distance")
 
 
+#: Names of external tools that manifests use; the matchers here that stand in for them.
+STAND_INS = {"logmap": "lexicalexact", "aml": "tokenjaccard", "bertmap": "editdistance"}
+
+
 def selected(names: list[str]) -> tuple[list[Matcher], list[str]]:
-    """(matchers by name, names that aren't known)."""
-    return [REGISTRY[n.lower()]() for n in names if n.lower() in REGISTRY], [n for n in names if n.lower() not in REGISTRY]
+    """(matchers by name, each once; names that aren't known)."""
+    asked = [STAND_INS.get(n.lower(), n.lower()) for n in names]
+    return [REGISTRY[n]() for n in dict.fromkeys(asked) if n in REGISTRY], [n for n, a in zip(names, asked) if a not in REGISTRY]
 
 
 @dataclass(frozen=True)

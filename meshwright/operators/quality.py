@@ -49,6 +49,19 @@ def precision_recall(predicted: DataFrame, gold: DataFrame) -> DataFrame:
     return n.withColumn("f1", ratio(2 * F.col("precision") * F.col("recall"), F.col("precision") + F.col("recall")))
 
 
+def true_positives(predicted: DataFrame, gold: DataFrame) -> DataFrame:
+    """Distinct keys of both."""
+    return predicted.select(*KEY).distinct().join(gold.select(*KEY), KEY, "left_semi")
+
+
+def false_positives(predicted: DataFrame, gold: DataFrame) -> DataFrame:
+    return predicted.select(*KEY).distinct().join(gold.select(*KEY), KEY, "left_anti")
+
+
+def false_negatives(predicted: DataFrame, gold: DataFrame) -> DataFrame:
+    return false_positives(gold, predicted)
+
+
 def agreement(fused: DataFrame) -> DataFrame:
     """m1, m2, both, either, jaccard of every pair of matchers, also of those that share nothing.
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,42 +15,60 @@ MAX_ROUNDS = 1000
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint in the folder of ``spark.checkpoint.dir``; one of our own only where that is unset."""
+    """Reliable checkpoint in the folder of ``spark.checkpoint.dir``; one of our own only where that is unset and all run on one machine."""
     spark: SparkSession = df.sparkSession
     context = spark.sparkContext
     if not context.getCheckpointDir():
-        context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="meshwright-"))
+        known = spark.conf.get("spark.checkpoint.dir", None)
+        if not known and not context.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        context.setCheckpointDir(known or tempfile.mkdtemp(prefix="meshwright-"))
     return df.checkpoint(eager=True)
 
 
+class Grown:
+    """A table that grows by rounds: each round's rows are kept as they are, and put together only now and then."""
+
+    def __init__(self, first: DataFrame, keep: int = 16):
+        self.parts, self.keep = [first], keep
+
+    def add(self, new: DataFrame) -> None:
+        self.parts.append(new)
+        if len(self.parts) > self.keep:
+            self.parts = [cut(self.all())]
+
+    def all(self) -> DataFrame:
+        return reduce(DataFrame.unionByName, self.parts)
+
+
 def closure(pairs: DataFrame, max_rounds: int = MAX_ROUNDS) -> DataFrame:
     """Transitive closure of ``pairs(s, o)``; (a, a) is in it exactly if a lies on a cycle.
 
-    Each round joins only the newest pairs with the edges (an equality join on the middle node) and takes off those known.
+    Each round joins only the newest pairs with the edges (an equality join on the middle node) and takes off those known; only new pairs are written.
     """
     base = cut(pairs.select("s", "o").where("s is not null and o is not null").distinct())
     step = base.select(F.col("s").alias("o"), F.col("o").alias("next"))
-    known, new = base, base
+    known, new = Grown(base), base
     for _ in range(max_rounds):
         found = new.join(step, "o").select("s", F.col("next").alias("o")).distinct()
-        new = cut(found.join(known, ["s", "o"], "left_anti"))
+        new = cut(found.join(known.all(), ["s", "o"], "left_anti"))
         if new.isEmpty():
-            return known
-        known = cut(known.unionByName(new))
+            return known.all()
+        known.add(new)
     raise RuntimeError(f"no fixpoint after {max_rounds} rounds")
 
 
 def reach(pairs: DataFrame, start: DataFrame, max_rounds: int = MAX_ROUNDS) -> DataFrame:
     """(root, node) of the nodes reached from ``start(root)`` along ``pairs(s, o)``; a root isn't its own, even on a cycle."""
     step = cut(pairs.select("s", "o").distinct())
-    seen = cut(start.select("root", F.col("root").alias("node")).distinct())
-    front = seen
+    front = cut(start.select("root", F.col("root").alias("node")).distinct())
+    seen = Grown(front)
     for _ in range(max_rounds):
         found = front.join(step, F.col("node") == F.col("s")).select("root", F.col("o").alias("node")).distinct()
-        front = cut(found.join(seen, ["root", "node"], "left_anti"))
+        front = cut(found.join(seen.all(), ["root", "node"], "left_anti"))
         if front.isEmpty():
-            return seen.where("node <> root")
-        seen = cut(seen.unionByName(front))
+            return seen.all().where("node <> root")
+        seen.add(front)
     raise RuntimeError(f"no fixpoint after {max_rounds} rounds")
 
 
@@ -78,6 +97,13 @@ def is_subclass_of(g: DataFrame, sub: str, sup: str, strict: bool = False) -> bo
     return not superclasses(g, sub).where(F.col("node") == sup).isEmpty()
 
 
+def subclass_pairs(g: DataFrame, asked: DataFrame) -> DataFrame:
+    """``asked(sub, sup, strict)`` with ``found``: whether sub is below sup (or, unless strict, is sup). Only what lies above the classes asked is searched."""
+    above = reach(edges(g), asked.select(F.col("sub").alias("root")).distinct()).select(F.col("root").alias("sub"), F.col("node").alias("sup"), F.lit(True).alias("above"))
+    found = F.when(F.col("sub") == F.col("sup"), ~F.col("strict")).otherwise(F.coalesce("above", F.lit(False)))
+    return asked.join(above, ["sub", "sup"], "left").select("sub", "sup", "strict", found.alias("found"))
+
+
 def proper_ancestors(g: DataFrame) -> DataFrame:
     """(s, o) of all classes and their proper ancestors."""
     return transitive_closure(g).where("s <> o")
@@ -107,58 +133,91 @@ def applicable_properties(g: DataFrame, include_inherited: bool = True) -> DataF
     return scope.join(domains, "at").join(properties(g).withColumnRenamed("s", "property"), "property").select("cls", "property", "kind").distinct()
 
 
-def hierarchy_lines(g: DataFrame, root: str | None = None, max_depth: int = 100) -> DataFrame:
-    """path, depth, line: the indented hierarchy below each root, in order of ``path``; a class already above itself ends its branch."""
+def hierarchy_lines(g: DataFrame, root: str | None = None, max_depth: int = MAX_ROUNDS, all_paths: bool = True) -> DataFrame:
+    """path, depth, line: the indented hierarchy below each root, in order of ``path``; a class already above itself ends its branch.
+
+    With ``all_paths`` a class is shown under each of its paths, of which there may be very many; else once, under the least of its shortest ones. A hierarchy
+    deeper than ``max_depth`` is an error.
+    """
     down = edges(g).where("s <> o").select(F.col("o").alias("at"), F.col("s").alias("sub"))
     labels = match(g, p=LABEL).groupBy("s").agg(F.min("o").alias("label"))
     roots = _start(g, root).select(F.col("root").alias("s")) if root else classes(g).join(match(g, p=SUBCLASS).select("s"), "s", "left_anti")
     level = cut(roots.select(F.col("s").alias("at"), F.array("s").alias("path")))
-    out = level
-    for _ in range(max_depth):
-        level = cut(level.join(down, "at").where(~F.array_contains("path", F.col("sub"))).select(F.col("sub").alias("at"), F.concat("path", F.array("sub")).alias("path")))
+    out = Grown(level)
+    for depth in range(max_depth + 1):
+        below = level.join(down, "at").where(~F.array_contains("path", F.col("sub"))).select(F.col("sub").alias("at"), F.concat("path", F.array("sub")).alias("path"))
+        if not all_paths:
+            below = below.groupBy("at").agg(F.min("path").alias("path")).join(out.all().select("at"), "at", "left_anti")
+        level = cut(below)
         if level.isEmpty():
             break
-        out = out.unionByName(level)
+        if depth == max_depth:
+            raise RuntimeError(f"the hierarchy is deeper than {max_depth}")
+        out.add(level)
     name = F.coalesce("label", F.substring_index(F.substring_index("at", "#", -1), "/", -1))
-    return out.join(labels.withColumnRenamed("s", "at"), "at", "left").select("path", (F.size("path") - 1).alias("depth"), F.concat(F.repeat(F.lit("  "), F.size("path") - 1), F.lit("- "), name).alias("line"))
+    line = F.concat(F.repeat(F.lit("  "), F.size("path") - 1), F.lit("- "), name)
+    return out.all().join(labels.withColumnRenamed("s", "at"), "at", "left").select("path", (F.size("path") - 1).alias("depth"), line.alias("line"))
 
 
 def print_hierarchy(g: DataFrame, root: str | None = None) -> str:
     return "\n".join(r["line"] for r in hierarchy_lines(g, root).orderBy("path").toLocalIterator())
 
 
-def materialize(g: DataFrame, max_rounds: int = 50) -> DataFrame:
-    """The graph with what these rules give until nothing is new: transitive subClassOf and subPropertyOf, types by subclass, domain
-    and range, statements by subproperty, inverse, symmetric and transitive properties, and equivalent classes as mutual subclasses."""
+def _pairs(rows: DataFrame, prop: str, a: str = "s", o: str = "o") -> DataFrame:
+    return rows.where(F.col("p") == prop).select(F.col("s").alias(a), F.col("o").alias(o))
+
+
+def consequences(a: DataFrame, b: DataFrame) -> DataFrame:
+    """s, p, o that a rule gives of one statement of ``a`` and one of ``b`` (rules of a single statement take it from ``a``)."""
     sub_property, equivalent, inverse = f"{RDFS}subPropertyOf", f"{OWL}equivalentClass", f"{OWL}inverseOf"
-    cols = COLUMNS
-    known = cut(g.select(*cols).distinct())
-    pair = lambda rows, p: rows.where(F.col("p") == p).select("s", "o")
+
+    def sub(g: DataFrame, s: str, o: str) -> DataFrame:  # equivalent classes are subclasses of each other
+        same = _pairs(g, equivalent)
+        both = _pairs(g, SUBCLASS).unionByName(same).unionByName(same.select(F.col("o").alias("s"), F.col("s").alias("o")))
+        return both.select(F.col("s").alias(s), F.col("o").alias(o))
+
+    def marked(g: DataFrame, kind: str) -> DataFrame:
+        return _pairs(g, TYPE, "p").where(F.col("o") == f"{OWL}{kind}").select("p").distinct()
+
+    out = lambda df, s, p, o: df.select(F.col(s).alias("s"), (F.lit(p) if p in (SUBCLASS, TYPE, sub_property) else F.col(p)).alias("p"), F.col(o).alias("o"))
+    links = lambda g: g.where("o_kind <> 'literal'").select("s", "p", "o")
+    either = _pairs(b, inverse, "p", "q").unionByName(_pairs(b, inverse, "q", "p").select("p", "q"))
+    rules = [
+        out(sub(a, "s", "m").join(sub(b, "m", "o"), "m"), "s", SUBCLASS, "o"),
+        out(_pairs(a, equivalent), "s", SUBCLASS, "o"), out(_pairs(a, equivalent), "o", SUBCLASS, "s"),
+        out(_pairs(a, sub_property, "s", "m").join(_pairs(b, sub_property, "m"), "m"), "s", sub_property, "o"),
+        out(_pairs(a, TYPE, "s", "m").join(sub(b, "m", "o"), "m"), "s", TYPE, "o"),
+        out(a.select("s", "p").distinct().join(_pairs(b, DOMAIN, "p"), "p"), "s", TYPE, "o"),
+        out(links(a).select(F.col("o").alias("s"), "p").distinct().join(_pairs(b, RANGE, "p"), "p"), "s", TYPE, "o"),
+        out(links(a).withColumnRenamed("p", "q").join(_pairs(b, sub_property, "q", "p"), "q"), "s", "p", "o"),
+        out(links(a).join(either, "p"), "o", "q", "s"),
+        out(links(a).join(marked(b, "SymmetricProperty"), "p"), "o", "p", "s"),
+    ]
+    return reduce(DataFrame.unionByName, rules).distinct()
+
+
+def materialize(g: DataFrame, max_rounds: int = MAX_ROUNDS) -> DataFrame:
+    """The graph with what these rules give until nothing is new: transitive subClassOf and subPropertyOf, types by subclass, domain
+    and range, statements by subproperty, inverse, symmetric and transitive properties, and equivalent classes as mutual subclasses.
+
+    A round joins only the statements of the last one with all (in either part of a rule), and statements that are known are taken off.
+    """
     made = lambda df: df.select("s", "p", "o", F.lit("iri").alias("o_kind"), F.lit(None).cast("string").alias("o_datatype"), F.lit(None).cast("string").alias("o_lang"))
+    transitive = f"{OWL}TransitiveProperty"
+    new = cut(g.select(*COLUMNS).distinct())
+    known = Grown(new)
     for _ in range(max_rounds):
-        iris = known.where("o_kind = 'iri'")
-        sub, same = pair(known, SUBCLASS), pair(known, equivalent)
-        sub = sub.unionByName(same).unionByName(same.select(F.col("o").alias("s"), F.col("s").alias("o"))).distinct()
-        types, supers, inv = pair(known, TYPE), pair(known, sub_property), pair(known, inverse)
-        x = lambda df, a, b: df.select(F.col("s").alias(a), F.col("o").alias(b))
-        new = [
-            x(sub, "s", "m").join(x(sub, "m", "o"), "m").select("s", F.lit(SUBCLASS).alias("p"), "o"),
-            same.select("s", F.lit(SUBCLASS).alias("p"), "o"), same.select(F.col("o").alias("s"), F.lit(SUBCLASS).alias("p"), F.col("s").alias("o")),
-            x(supers, "s", "m").join(x(supers, "m", "o"), "m").select("s", F.lit(sub_property).alias("p"), "o"),
-            x(types, "s", "m").join(x(sub, "m", "o"), "m").select("s", F.lit(TYPE).alias("p"), "o"),
-            known.select(F.col("s").alias("i"), F.col("p").alias("q")).join(x(pair(known, DOMAIN), "q", "o"), "q").select(F.col("i").alias("s"), F.lit(TYPE).alias("p"), "o"),
-            iris.select(F.col("o").alias("i"), F.col("p").alias("q")).join(x(pair(known, RANGE), "q", "o"), "q").select(F.col("i").alias("s"), F.lit(TYPE).alias("p"), "o"),
-            iris.select("s", F.col("p").alias("q"), "o").join(x(supers, "q", "p"), "q").select("s", "p", "o"),
-            iris.select(F.col("o").alias("s2"), F.col("p").alias("q"), F.col("s").alias("o2")).join(x(inv, "q", "p").unionByName(x(inv, "p", "q").select("q", "p")), "q").select(F.col("s2").alias("s"), "p", F.col("o2").alias("o")),
-            iris.join(types.where(F.col("o") == f"{OWL}SymmetricProperty").select(F.col("s").alias("p")), "p", "left_semi").select(F.col("o").alias("s"), "p", F.col("s").alias("o")),
-        ]
-        chain = iris.join(types.where(F.col("o") == f"{OWL}TransitiveProperty").select(F.col("s").alias("p")), "p", "left_semi").select("s", "p", "o")
-        new.append(chain.withColumnRenamed("o", "m").join(chain.withColumnRenamed("s", "m"), ["p", "m"]).select("s", "p", "o"))
-        every = new[0]
-        for more in new[1:]:
-            every = every.unionByName(more)
-        fresh = cut(made(every).distinct().join(known, ["s", "p", "o"], "left_anti").select(*cols))
-        if fresh.isEmpty():
-            return known
-        known = cut(known.unionByName(fresh))
+        every = known.all()
+        # transitive properties: a rule of three statements, one of them the property's type
+        chained = every.where("o_kind <> 'literal'").join(_pairs(every, TYPE, "p").where(F.col("o") == transitive).select("p").distinct(), "p", "left_semi").select("s", "p", "o")
+        fresh = new.where("o_kind <> 'literal'").select("s", "p", "o")
+        # a property that has just become transitive brings all its statements
+        fresh = fresh.unionByName(every.where("o_kind <> 'literal'").join(_pairs(new, TYPE, "p").where(F.col("o") == transitive).select("p").distinct(), "p", "left_semi").select("s", "p", "o")).distinct()
+        before = fresh.withColumnRenamed("o", "m").join(chained.withColumnRenamed("s", "m"), ["p", "m"]).select("s", "p", "o")
+        after = chained.withColumnRenamed("o", "m").join(fresh.withColumnRenamed("s", "m"), ["p", "m"]).select("s", "p", "o")
+        found = consequences(new, every).unionByName(consequences(every, new)).unionByName(before).unionByName(after).distinct()
+        new = cut(made(found.join(every, ["s", "p", "o"], "left_anti")).select(*COLUMNS))
+        if new.isEmpty():
+            return known.all()
+        known.add(new)
     raise RuntimeError(f"no fixpoint after {max_rounds} rounds")

@@ -60,9 +60,9 @@ def fused(spark, d):
     return _shown(_fused(spark, d))
 
 
-@query(f"{FUSED}, js AS (SELECT {_COLS}, string_agg(mapping_justification, '; ' ORDER BY ord) AS j FROM m GROUP BY ALL) SELECT {_COLS}, j AS mapping_justification, array_to_string(list_transform(list_zip(ms, cs), lambda x: x[1] || '=' || CAST(CAST(round(x[2] * 10) AS INTEGER) AS VARCHAR)), ',') AS confidences FROM fused JOIN js USING (subject_id, object_id, predicate_id)")
+@query(f"{FUSED}, js AS (SELECT {_COLS}, string_agg(mapping_justification, '; ' ORDER BY ord) AS j FROM m GROUP BY ALL) SELECT {_COLS}, j AS mapping_justification, array_to_string(list_transform(list_zip(ms, cs), lambda x: x[1] || '=' || CAST(CAST(round(x[2] * 50) AS INTEGER) AS VARCHAR)), ',') AS confidences FROM fused JOIN js USING (subject_id, object_id, predicate_id)")
 def fused_details(spark, d):
-    each = F.transform("supporting_matchers", lambda m: F.concat(m, F.lit("="), F.round(F.col("confidences")[m] * 10).cast("int").cast("string")))
+    each = F.transform("supporting_matchers", lambda m: F.concat(m, F.lit("="), F.round(F.col("confidences")[m] * 50).cast("int").cast("string")))
     return _fused(spark, d).select(*KEY, "mapping_justification", F.array_join(each, ",").alias("confidences"))
 
 
@@ -83,9 +83,7 @@ def fused_min_consensus(spark, d):
 
 @query(f"{MAPPINGS_SQL} SELECT subject_id, object_id, arg_max(predicate_id, (confidence, -0.0)) AS predicate_id, round(max(confidence), 6) AS confidence FROM (SELECT DISTINCT ON (subject_id, object_id) * FROM m ORDER BY subject_id, object_id, confidence DESC, ord) GROUP BY ALL")
 def combined_union(spark, d):
-    rows = v.mappings(spark, d)
-    best = rows.groupBy("subject_id", "object_id").agg(F.min(F.struct((-F.col("confidence")).alias("c"), "ord", "predicate_id")).alias("x"))
-    return best.select("subject_id", "object_id", F.col("x.predicate_id").alias("predicate_id"), F.round(-F.col("x.c"), 6).alias("confidence"))
+    return fusion.combine(v.mappings(spark, d), "union").select("subject_id", "object_id", "predicate_id", F.round("confidence", 6).alias("confidence"))
 
 
 @query(f"{MAPPINGS_SQL} SELECT subject_id, object_id, round(avg(confidence), 6) AS confidence FROM m GROUP BY ALL HAVING count(DISTINCT matcher_name) >= 3")
@@ -193,12 +191,12 @@ def precision_recall(spark, d):
 
 @query(f"{FUSED}, {GOLD_SQL} SELECT {_COLS} FROM fused SEMI JOIN gold USING (subject_id, object_id, predicate_id) WHERE support_count >= 2")
 def true_positives(spark, d):
-    return fusion.filter_by_support(_fused(spark, d)).join(v.gold(spark, d).select(*KEY), KEY, "left_semi").select(*KEY)
+    return quality.true_positives(fusion.filter_by_support(_fused(spark, d)), v.gold(spark, d))
 
 
 @query(f"{FUSED}, {GOLD_SQL} SELECT {_COLS} FROM gold ANTI JOIN (SELECT * FROM fused WHERE support_count >= 2) f USING (subject_id, object_id, predicate_id)")
 def false_negatives(spark, d):
-    return v.gold(spark, d).select(*KEY).distinct().join(fusion.filter_by_support(_fused(spark, d)).select(*KEY), KEY, "left_anti")
+    return quality.false_negatives(fusion.filter_by_support(_fused(spark, d)), v.gold(spark, d))
 
 
 _AGREE = "u AS (SELECT ord, unnest(ms) AS m FROM (SELECT DISTINCT ord || object_id || predicate_id AS ord, ms FROM fused)), n AS (SELECT m, count(*) AS n FROM u GROUP BY m), b AS (SELECT x.m AS m1, y.m AS m2, count(*) AS shared FROM u x JOIN u y ON x.ord = y.ord AND x.m < y.m GROUP BY ALL), ag AS (SELECT a.m AS m1, c.m AS m2, coalesce(b.shared, 0) AS shared, a.n + c.n - coalesce(b.shared, 0) AS either FROM n a JOIN n c ON a.m < c.m LEFT JOIN b ON b.m1 = a.m AND b.m2 = c.m)"
@@ -360,10 +358,13 @@ def superclasses_direct(spark, d):
     return reasoning.superclasses(v.triples(spark, d), "cust:1", True)
 
 
-@query(f"{CLOSURE_SQL} SELECT s AS sub, o AS sup, s <> o AS strict FROM c WHERE o IN ('region:0', 'region:1') UNION SELECT x, x, false FROM (VALUES ('region:0'), ('region:1')) t(x)", True)
+@query(f"{CLOSURE_SQL} SELECT n.s AS sub, r.s AS sup, true AS strict, c.s IS NOT NULL AS found FROM (SELECT 'nation:' || n_nationkey AS s FROM nation) n CROSS JOIN (SELECT 'region:' || r_regionkey AS s FROM region) r LEFT JOIN c ON c.s = n.s AND c.o = r.s UNION ALL SELECT 'region:' || r_regionkey, 'region:' || r_regionkey, x, NOT x FROM region, (VALUES (true), (false)) t(x)", True)
 def is_subclass_of(spark, d):
-    a = reasoning.proper_ancestors(v.triples(spark, d)).where(F.col("o").isin("region:0", "region:1")).select(F.col("s").alias("sub"), F.col("o").alias("sup"), F.lit(True).alias("strict"))
-    return a.unionByName(spark.createDataFrame([("region:0", "region:0", False), ("region:1", "region:1", False)], a.schema))
+    name = lambda t, c, p: v.table(spark, d, t).select(F.concat(F.lit(p), F.col(c).cast("string")).alias("s"))
+    nations, regions = name("nation", "n_nationkey", "nation:"), name("region", "r_regionkey", "region:")
+    asked = nations.withColumnRenamed("s", "sub").join(F.broadcast(regions.withColumnRenamed("s", "sup"))).withColumn("strict", F.lit(True))
+    same = regions.select(F.col("s").alias("sub"), F.col("s").alias("sup"), F.explode(F.array(F.lit(True), F.lit(False))).alias("strict"))
+    return reasoning.subclass_pairs(v.triples(spark, d), asked.unionByName(same))
 
 
 _PAIRS = "pairs AS (SELECT 'cust:' || c_custkey AS c1, 'supp:' || s_suppkey AS c2 FROM customer JOIN supplier ON c_custkey % 100 = s_suppkey % 100)"
@@ -403,10 +404,10 @@ def hierarchy_lines(spark, d):
     return reasoning.hierarchy_lines(v.triples(spark, d), "region:1").select(F.array_join("path", ">").alias("path"), F.col("depth").cast("long").alias("depth"), "line")
 
 
-@query(f"{CLOSURE_SQL} SELECT 'item:' || c_custkey AS s, o FROM (SELECT c_custkey, 'cust:' || c_custkey AS s FROM customer WHERE c_custkey % 7 = 0) i JOIN (SELECT s, o FROM c UNION SELECT s, s FROM c) c USING (s)", True)
+@query(f"{CLOSURE_SQL} SELECT 'item:' || c_custkey AS s, o FROM (SELECT c_custkey, 'cust:' || c_custkey AS s FROM customer) i JOIN (SELECT s, o FROM c UNION SELECT s, s FROM c) c USING (s)", True)
 def inferred_types(spark, d):
-    items = v.table(spark, d, "customer").where("c_custkey % 7 = 0").select(F.concat(F.lit("item:"), F.col("c_custkey").cast("string")).alias("s"), F.lit(TYPE).alias("p"), F.concat(F.lit("cust:"), F.col("c_custkey").cast("string")).alias("o"), F.lit("iri").alias("o_kind"), F.lit(None).cast("string").alias("o_datatype"), F.lit(None).cast("string").alias("o_lang"))
-    g = tr.union(tr.match(v.triples(spark, d), p=SUBCLASS), items)
+    items = v.table(spark, d, "customer").select(F.concat(F.lit("item:"), F.col("c_custkey").cast("string")).alias("s"), F.lit(TYPE).alias("p"), F.concat(F.lit("cust:"), F.col("c_custkey").cast("string")).alias("o"), F.lit("iri").alias("o_kind"), F.lit(None).cast("string").alias("o_datatype"), F.lit(None).cast("string").alias("o_lang"))
+    g = tr.union(v.triples(spark, d), items)
     return tr.match(reasoning.materialize(g), p=TYPE).where(F.col("s").startswith("item:")).select("s", "o")
 
 
@@ -438,10 +439,10 @@ for _p, _bad in validation.FORBIDDEN.items():
         query(f"{TRIPLES_SQL} SELECT 'error' AS severity, 'profile_{_p.lower()}' AS rule, s AS subject, p AS predicate, o AS object FROM g WHERE p IN ({_in})")(_profile)
 
 
-@query(f"{CLOSURE_SQL} SELECT DISTINCT 'item:' || c_custkey AS subject, 'disjoint_types' AS rule FROM customer JOIN c x ON x.s = 'cust:' || c_custkey AND x.o = 'region:0' WHERE c_custkey % 7 = 0", True)
+@query(f"{CLOSURE_SQL} SELECT DISTINCT 'item:' || c_custkey AS subject, 'disjoint_types' AS rule FROM customer JOIN c x ON x.s = 'cust:' || c_custkey AND x.o = 'region:0'", True)
 def inconsistent_members(spark, d):
     g = v.triples(spark, d)
-    items = v.table(spark, d, "customer").where("c_custkey % 7 = 0").select(F.concat(F.lit("item:"), F.col("c_custkey").cast("string")).alias("s"), F.lit(TYPE).alias("p"), F.explode(F.array(F.concat(F.lit("cust:"), F.col("c_custkey").cast("string")), F.lit("region:1"))).alias("o"), F.lit("iri").alias("o_kind"), F.lit(None).cast("string").alias("o_datatype"), F.lit(None).cast("string").alias("o_lang"))
+    items = v.table(spark, d, "customer").select(F.concat(F.lit("item:"), F.col("c_custkey").cast("string")).alias("s"), F.lit(TYPE).alias("p"), F.explode(F.array(F.concat(F.lit("cust:"), F.col("c_custkey").cast("string")), F.lit("region:1"))).alias("o"), F.lit("iri").alias("o_kind"), F.lit(None).cast("string").alias("o_datatype"), F.lit(None).cast("string").alias("o_lang"))
     found = validation.clashes(tr.union(g.where(F.col("p").isin(SUBCLASS, f"{OWL}complementOf")), items))
     return found.select("subject", "rule").distinct()
 

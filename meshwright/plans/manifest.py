@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import warnings
 from typing import Any, Literal
 
 import yaml
 from pydantic import AliasChoices, BaseModel, ConfigDict, Field, field_validator, model_validator
 
-from meshwright.operators.matching import REGISTRY
+from meshwright.operators.matching import REGISTRY, STAND_INS, selected
 from meshwright.plans.errors import ManifestError
 
 
@@ -63,15 +64,21 @@ class MetaOntology(_Part):
 
 
 def _known(names: list[str]) -> list[str]:
-    if unknown := [n for n in names if n.lower() not in REGISTRY]:
-        raise ValueError(f"unknown matchers: {', '.join(unknown)}; known: {', '.join(sorted(m.name for m in REGISTRY.values()))}")
-    return names
+    """Matchers that aren't known are left out with a warning; names of external tools stay, and others stand in for them."""
+    known, unknown = selected(names)
+    if unknown:
+        warnings.warn(f"unknown matchers are left out: {', '.join(unknown)}; known: {', '.join(sorted(m.name for m in REGISTRY.values()))}", stacklevel=2)
+    if outside := [n for n in names if n.lower() in STAND_INS]:
+        warnings.warn("external matchers are not run; " + ", ".join(f"{REGISTRY[STAND_INS[n.lower()]].name} stands in for {n}" for n in outside), stacklevel=2)
+    if names and not known:
+        raise ValueError("none of the matchers is known")
+    return [n for n in names if n not in unknown]
 
 
 class Alignment(_Part):
     matchers: list[str] = Field(default_factory=list)
     timeout: float = Field(300.0, gt=0)
-    threshold: float = Field(0.0, ge=0, le=1)
+    threshold: float = Field(0.5, ge=0, le=1)
     voting: str = "majority"
     resolution: str = "confidence"
 
@@ -83,7 +90,7 @@ class PipelineOptions(_Part):
     retry_delay: float = Field(1.0, ge=0)
     parallel_sources: bool = False
     checkpoint_enabled: bool = True
-    fail_fast: bool = True
+    fail_fast: bool = False
     cleanup_on_success: bool = False
 
 

@@ -21,27 +21,25 @@ def _case(c, pairs, other):
 
 
 def mappings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Line items as the mapping rows of three matchers. ``ord`` is a sort key made of the row itself, so no global sort is needed."""
-    rows = table(spark, sf_dir, "lineitem").where("l_quantity <= 10")
-    pad = lambda c, n: F.lpad(F.col(c).cast("string"), n, "0")
+    """All line items as the mapping rows of three matchers. ``ord`` is made of the row's key, so no global sort is needed."""
+    rows = table(spark, sf_dir, "lineitem")
     return rows.select(
         F.concat(F.lit("part:"), F.col("l_partkey").cast("string")).alias("subject_id"),
         F.concat(F.lit("supp:"), (F.col("l_partkey") % 20 + F.when(F.col("l_suppkey") % 10 == 0, 1).otherwise(0)).cast("string")).alias("object_id"),
         _case(F.col("l_returnflag"), (("A", "skos:exactMatch"), ("N", "skos:closeMatch")), "skos:relatedMatch").alias("predicate_id"),
-        (F.col("l_quantity") / 10.0).alias("confidence"),
+        (F.col("l_quantity") / 50.0).alias("confidence"),
         _case(F.col("l_linenumber") % 3, ((0, "AML"), (1, "BERTMap")), "LogMap").alias("matcher_name"),
         F.when(F.col("l_linestatus") == "O", F.concat(F.lit("line "), F.col("l_linenumber").cast("string"))).alias("mapping_justification"),
-        F.concat_ws("-", pad("l_orderkey", 12), pad("l_linenumber", 2), pad("l_partkey", 10), pad("l_suppkey", 10)).alias("ord"),
+        ((F.col("l_orderkey").cast("long") * 8 + F.col("l_linenumber")) * (1 << 34) + F.col("l_partkey").cast("long") * (1 << 14) + F.col("l_suppkey")).alias("ord"),
     )
 
 
 MAPPINGS_SQL = """m AS (SELECT 'part:' || l_partkey AS subject_id,
   'supp:' || (l_partkey % 20 + CASE WHEN l_suppkey % 10 = 0 THEN 1 ELSE 0 END) AS object_id,
   CASE l_returnflag WHEN 'A' THEN 'skos:exactMatch' WHEN 'N' THEN 'skos:closeMatch' ELSE 'skos:relatedMatch' END AS predicate_id,
-  l_quantity / 10.0 AS confidence, CASE l_linenumber % 3 WHEN 0 THEN 'AML' WHEN 1 THEN 'BERTMap' ELSE 'LogMap' END AS matcher_name,
+  l_quantity / 50.0 AS confidence, CASE l_linenumber % 3 WHEN 0 THEN 'AML' WHEN 1 THEN 'BERTMap' ELSE 'LogMap' END AS matcher_name,
   CASE WHEN l_linestatus = 'O' THEN 'line ' || l_linenumber END AS mapping_justification,
-  lpad(l_orderkey::VARCHAR, 12, '0') || '-' || lpad(l_linenumber::VARCHAR, 2, '0') || '-' || lpad(l_partkey::VARCHAR, 10, '0') || '-' || lpad(l_suppkey::VARCHAR, 10, '0') AS ord
-  FROM lineitem WHERE l_quantity <= 10)"""
+  (CAST(l_orderkey AS BIGINT) * 8 + l_linenumber) * 17179869184 + CAST(l_partkey AS BIGINT) * 16384 + l_suppkey AS ord FROM lineitem)"""
 
 FUSED_SQL = (
     MAPPINGS_SQL
@@ -58,19 +56,19 @@ def gold(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Mapping rows under other column names, with zero, missing and unreadable confidences and missing subjects."""
-    rows = table(spark, sf_dir, "lineitem").where("l_quantity <= 10")
+    rows = table(spark, sf_dir, "lineitem")
     text = lambda c: F.col(c).cast("string")
     return rows.select(
         F.when(F.col("l_linenumber") != 7, F.concat(F.lit("part:"), text("l_partkey"))).alias("subject"), F.concat(F.lit("supp:"), text("l_suppkey")).alias("object"),
         F.when(F.col("l_returnflag") == "A", "skos:exactMatch").when(F.col("l_returnflag") == "N", "").alias("predicate"),
-        F.when(F.col("l_quantity") == 1, "0").when(F.col("l_quantity") == 2, "n/a").when(F.col("l_quantity") > 3, (F.col("l_quantity") / 10.0).cast("string")).alias("confidence"),
+        F.when(F.col("l_quantity") == 1, "0").when(F.col("l_quantity") == 2, "n/a").when(F.col("l_quantity") > 3, (F.col("l_quantity") / 50.0).cast("string")).alias("confidence"),
         F.when(F.col("l_quantity") == 3, "0.25").alias("similarity"),
     )
 
 
 DIRTY_SQL = """SELECT 'part:' || l_partkey AS subject_id, 'supp:' || l_suppkey AS object_id, CASE WHEN l_returnflag = 'A' THEN 'skos:exactMatch' ELSE 'skos:closeMatch' END AS predicate_id,
-  CASE WHEN l_quantity = 1 THEN 0.0 WHEN l_quantity = 2 THEN 1.0 WHEN l_quantity = 3 THEN 0.25 ELSE round(l_quantity / 10.0, 6) END AS confidence
-  FROM lineitem WHERE l_quantity <= 10 AND l_linenumber <> 7"""
+  CASE WHEN l_quantity = 1 THEN 0.0 WHEN l_quantity = 2 THEN 1.0 WHEN l_quantity = 3 THEN 0.25 ELSE round(l_quantity / 50.0, 6) END AS confidence
+  FROM lineitem WHERE l_linenumber <> 7"""
 
 _PROPS = (("knows", OBJECT_PROPERTY, "region:0", "region:1"), ("sellsIn", OBJECT_PROPERTY, "nation:1", "region:1"), ("locatedIn", OBJECT_PROPERTY, f"{META}Location", f"{META}Location"), ("hasSize", DATATYPE_PROPERTY, "nation:3", f"{RDFS}Literal"), ("hasCode", DATATYPE_PROPERTY, "region:2", f"{RDFS}Literal"))
 
@@ -93,7 +91,7 @@ def triples(spark: SparkSession, sf_dir: str) -> DataFrame:
         part = table(spark, sf_dir, t).select(F.explode(rows).alias("x")).select("x.*")
         out = part if out is None else out.unionByName(part)
     fixed = [(f"prop:{n}", TYPE, k, "iri") for n, k, _, _ in _PROPS] + [(f"prop:{n}", DOMAIN, d, "iri") for n, _, d, _ in _PROPS] + [(f"prop:{n}", RANGE, r, "iri") for n, _, _, r in _PROPS]
-    fixed += [("prop:loose", DOMAIN, "region:0", "iri"), ("_:r1", f"{OWL}allValuesFrom", "region:0", "iri"), ("_:r2", f"{OWL}unionOf", "_:l1", "bnode"), ("region:0", f"{OWL}complementOf", "region:1", "iri")]
+    fixed += [("class:alone", TYPE, CLASS, "iri"), ("prop:loose", DOMAIN, "region:0", "iri"), ("_:r1", f"{OWL}allValuesFrom", "region:0", "iri"), ("_:r2", f"{OWL}unionOf", "_:l1", "bnode"), ("region:0", f"{OWL}complementOf", "region:1", "iri")]
     extra = spark.createDataFrame([(*r, None, None) for r in fixed], out.schema)
     return out.unionByName(extra).select(*COLUMNS).distinct()
 
@@ -107,7 +105,7 @@ def _triples_sql() -> str:
         me = f"'{prefix}:' || {key}"
         parts += [f"SELECT {me} AS s, '{SUBCLASS}' AS p, {parent} AS o, 'iri' AS o_kind FROM {t}", f"SELECT {me}, '{LABEL}', {label}, 'literal' FROM {t}", f"SELECT {me}, '{TYPE}', '{CLASS}', 'iri' FROM {t} WHERE {where}"]
     fixed = [(f"prop:{n}", TYPE, k, "iri") for n, k, _, _ in _PROPS] + [(f"prop:{n}", DOMAIN, d, "iri") for n, _, d, _ in _PROPS] + [(f"prop:{n}", RANGE, r, "iri") for n, _, _, r in _PROPS]
-    fixed += [("prop:loose", DOMAIN, "region:0", "iri"), ("_:r1", f"{OWL}allValuesFrom", "region:0", "iri"), ("_:r2", f"{OWL}unionOf", "_:l1", "bnode"), ("region:0", f"{OWL}complementOf", "region:1", "iri")]
+    fixed += [("class:alone", TYPE, CLASS, "iri"), ("prop:loose", DOMAIN, "region:0", "iri"), ("_:r1", f"{OWL}allValuesFrom", "region:0", "iri"), ("_:r2", f"{OWL}unionOf", "_:l1", "bnode"), ("region:0", f"{OWL}complementOf", "region:1", "iri")]
     parts.append("SELECT * FROM (VALUES " + ", ".join("(" + ", ".join(f"'{x}'" for x in r) + ")" for r in fixed) + ") v(s, p, o, o_kind)")
     return "g AS (" + "\n UNION ".join(parts) + ")"
 

@@ -83,6 +83,12 @@ class Provider:
             self._graph = self.build().cache()
         return self._graph
 
+    def release(self) -> None:
+        """Give back the memory of the graph; it is built again when asked for."""
+        if self._graph is not None:
+            self._graph.unpersist()
+            self._graph = None
+
     def alignment_targets(self) -> DataFrame:
         return tr.classes(self.graph())
 
@@ -225,6 +231,7 @@ class Registry:
 
     def __init__(self) -> None:
         self._known: dict[str, type[Provider]] = {}
+        self.aliases = {"fibo": "financial"}  # names that manifests use
         self.reset()
 
     def reset(self) -> None:
@@ -243,7 +250,7 @@ class Registry:
         del self._known[name.lower()]
 
     def is_registered(self, name: str) -> bool:
-        return name.lower() in self._known
+        return self.aliases.get(name.lower(), name.lower()) in self._known
 
     def list(self) -> list[str]:
         return sorted(self._known)
@@ -251,7 +258,7 @@ class Registry:
     def get(self, name: str) -> type[Provider]:
         if not self.is_registered(name):
             raise ValueError(f"unknown meta-ontology: {name}; known: {', '.join(self.list())}")
-        return self._known[name.lower()]
+        return self._known[self.aliases.get(name.lower(), name.lower())]
 
     def create(self, spark: SparkSession, name: str, **options) -> Provider:
         """Nested configurations ``{"type": ..., "options": {...}}`` of a composite are created as well."""

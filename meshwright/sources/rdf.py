@@ -10,26 +10,46 @@ from urllib.parse import urljoin
 from xml.sax.saxutils import escape, quoteattr
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from meshwright.operators.triples import COLUMNS, union
 from meshwright.vocab import RDF, TRIPLES, TYPE, XSD
 
 SCHEMA = "s string, p string, o string, o_kind string, o_datatype string, o_lang string"
-_NT = r'^\s*(<[^>]*>|_:\S+)\s+<([^>]*)>\s+(?:<([^>]*)>|(_:[^\s.]+(?:\.[^\s.]+)*)|"((?:[^"\\]|\\.)*)"(?:\^\^<([^>]*)>|@([A-Za-z0-9-]+))?)\s*\.\s*(?:#.*)?$'
+#: Possessive repeats, so that no long literal or blank node nests the matcher.
+_NT = r'^\s*(<[^>]*>|_:\S+)\s+<([^>]*)>\s+(?:<([^>]*)>|(_:[^\s.]++(?:\.[^\s.]++)*+)|"((?:[^"\\]++|\\.)*+)"(?:\^\^<([^>]*)>|@([A-Za-z0-9-]+))?)\s*\.\s*(?:#.*)?$'
+_PIECE = r"[^\\]++|(?:\\u[0-9A-Fa-f]{4})++|\\U[0-9A-Fa-f]{8}|\\."
 
 
-def read_ntriples(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """One triple a line; other lines are left out."""
+def unescaped(text: Column) -> Column:
+    """Escapes of N-Triples decoded: letters, and code points of four or eight digits (pairs of surrogates together)."""
+    plain = {"n": "\n", "t": "\t", "r": "\r", "b": "\b", "f": "\f"}
+    table = F.create_map(*[F.lit(x) for kv in plain.items() for x in kv])
+
+    def decoded(x: Column) -> Column:
+        code = lambda kind, charset: F.decode(F.unhex(F.replace(x, F.lit(kind), F.lit(""))), charset)
+        letter = F.substr(x, F.lit(2), F.lit(1))
+        wide = F.length(x) > 2
+        return F.when(~x.startswith("\\"), x).when(wide & x.startswith("\\u"), code("\\u", "UTF-16BE")).when(wide, code("\\U", "UTF-32")).otherwise(F.coalesce(table[letter], letter))
+
+    return F.when(F.contains(text, F.lit("\\")), F.array_join(F.transform(F.regexp_extract_all(text, F.lit(_PIECE), F.lit(0)), decoded), "")).otherwise(text)
+
+
+def parse_ntriples(lines: DataFrame, strict: bool = False) -> DataFrame:
+    """The triples of ``lines(value)``, one a line. Blank lines and comments are left out; so are malformed lines, which are an error when ``strict``."""
     part = lambda i: F.regexp_extract("value", _NT, i)
     filled = lambda c: F.nullif(c, F.lit(""))
-    rows = spark.read.text(path).where(F.col("value").rlike(_NT))
-    text = part(5)
-    for escaped, plain in (("\\\\", "\x00"), ('\\"', '"'), ("\\n", "\n"), ("\\r", "\r"), ("\\t", "\t"), ("\x00", "\\")):
-        text = F.replace(text, F.lit(escaped), F.lit(plain))
+    good = F.col("value").rlike(_NT)
+    if strict:
+        good = F.when(good, F.lit(True)).when(F.col("value").rlike(r"^\s*(?:#|$)"), F.lit(False)).otherwise(F.raise_error(F.concat(F.lit("N-Triples: unexpected line: "), F.substring("value", 1, 80))))
+    rows = lines.where(good)
     kind = F.when(filled(part(3)).isNotNull(), "iri").when(filled(part(4)).isNotNull(), "bnode").otherwise("literal")
-    return rows.select(F.regexp_replace(part(1), "^<|>$", "").alias("s"), part(2).alias("p"), F.coalesce(filled(part(3)), filled(part(4)), text).alias("o"), kind.alias("o_kind"), filled(part(6)).alias("o_datatype"), filled(part(7)).alias("o_lang")).distinct()
+    return rows.select(unescaped(F.regexp_replace(part(1), "^<|>$", "")).alias("s"), unescaped(part(2)).alias("p"), F.coalesce(unescaped(filled(part(3))), filled(part(4)), unescaped(part(5))).alias("o"), kind.alias("o_kind"), filled(part(6)).alias("o_datatype"), filled(part(7)).alias("o_lang")).distinct()
+
+
+def read_ntriples(spark: SparkSession, path: str | list[str], strict: bool = False) -> DataFrame:
+    return parse_ntriples(spark.read.text(path), strict)
 
 
 _TOKEN = re.compile(
@@ -239,8 +259,8 @@ def parse_text(text: str, name: str, base: str = "", scope: str = "b") -> list[t
     return Turtle(text, base, scope).parse()
 
 
-def read(spark: SparkSession, path: str | list[str], base: str = "", strict: bool = True) -> DataFrame:
-    """Triples of RDF files of any of the formats, one file per task; blank nodes are kept apart by file. Not strict: files that can't be parsed give none."""
+def parse_contents(files: DataFrame, base: str = "", strict: bool = True) -> DataFrame:
+    """Triples of ``files(path, content)``, one file per task; blank nodes are kept apart by file. Not strict: files that can't be parsed give none."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         import zlib
@@ -255,12 +275,17 @@ def read(spark: SparkSession, path: str | list[str], base: str = "", strict: boo
                     rows = []
                 yield pd.DataFrame(rows, columns=COLUMNS, dtype=object)
 
+    return files.select("path", "content").mapInPandas(run, SCHEMA)
+
+
+def read(spark: SparkSession, path: str | list[str], base: str = "", strict: bool = True) -> DataFrame:
+    """Triples of RDF files of any of the formats: N-Triples by line, others one file per task. Strict: what can't be parsed is an error."""
     paths = [path] if isinstance(path, str) else list(path)
     lines = [p for p in paths if p.lower().endswith(".nt")]
     files = [p for p in paths if not p.lower().endswith(".nt")]
-    parts = [read_ntriples(spark, lines)] if lines else []
+    parts = [read_ntriples(spark, lines, strict)] if lines else []
     if files:
-        parts.append(spark.read.format("binaryFile").load(files).select("path", "content").mapInPandas(run, SCHEMA))
+        parts.append(parse_contents(spark.read.format("binaryFile").load(files), base, strict))
     return union(*parts)
 
 
@@ -290,51 +315,62 @@ def _by_subject(g: DataFrame):
         yield subject, group
 
 
+def _turtle(g: DataFrame, names: dict[str, str]) -> Iterator[str]:
+    esc = lambda t: t.replace("\\", "\\\\").replace('"', '\\"').replace("\n", "\\n").replace("\r", "\\r")
+
+    def term(t: str) -> str:
+        if t.startswith("_:"):
+            return t
+        for p, ns in names.items():
+            if t.startswith(ns) and re.fullmatch(r"[A-Za-z_][\w-]*", t[len(ns) :]):
+                return f"{p}:{t[len(ns) :]}"
+        return f"<{t}>"
+
+    yield from (f"@prefix {p}: <{ns}> .\n" for p, ns in names.items())
+    for s, group in _by_subject(g):
+        lines = []
+        for r in group:
+            tail = f"^^{term(r['o_datatype'])}" if r["o_datatype"] else f"@{r['o_lang']}" if r["o_lang"] else ""
+            o = f'"{esc(r["o"])}"{tail}' if r["o_kind"] == "literal" else term(r["o"])
+            lines.append(f"{'a' if r['p'] == TYPE else term(r['p'])} {o}")
+        yield f"\n{term(s)} " + " ;\n    ".join(lines) + " .\n"
+
+
+def _xml(g: DataFrame) -> Iterator[str]:
+    node = lambda t, kind: f"rdf:nodeID={quoteattr(re.sub(r'\W', '_', t[2:]))}" if t.startswith("_:") else f"rdf:{kind}={quoteattr(t)}"
+    yield f'<?xml version="1.0" encoding="utf-8"?>\n<rdf:RDF xmlns:rdf="{RDF}">\n'
+    for s, group in _by_subject(g):
+        yield f"  <rdf:Description {node(s, 'about')}>\n"
+        for r in group:
+            at = max(r["p"].rfind("#"), r["p"].rfind("/")) + 1
+            head = f"    <p:{r['p'][at:]} xmlns:p={quoteattr(r['p'][:at])}"
+            if r["o_kind"] == "literal":
+                extra = f" rdf:datatype={quoteattr(r['o_datatype'])}" if r["o_datatype"] else f" xml:lang={quoteattr(r['o_lang'])}" if r["o_lang"] else ""
+                yield f"{head}{extra}>{escape(r['o'])}</p:{r['p'][at:]}>\n"
+            else:
+                yield f"{head} {node(r['o'], 'resource')}/>\n"
+        yield "  </rdf:Description>\n"
+    yield "</rdf:RDF>\n"
+
+
+def render(g: DataFrame, fmt: str = "xml", prefixes: dict[str, str] | None = None) -> Iterator[str]:
+    """The text of a schema-sized graph in portions, in order of its subjects: ``xml``, ``turtle`` or ``nt``."""
+    names = {"rdf": RDF, "rdfs": "http://www.w3.org/2000/01/rdf-schema#", "owl": "http://www.w3.org/2002/07/owl#", "xsd": XSD} | (prefixes or {})
+    if fmt == "nt":
+        return (r["value"] + "\n" for r in nt_lines(g.distinct()).orderBy("value").toLocalIterator())
+    if fmt == "turtle":
+        return _turtle(g, names)
+    if fmt == "xml":
+        return _xml(g)
+    raise ValueError(f"unknown format: {fmt}")
+
+
 def serialize(g: DataFrame, path: str, fmt: str = "xml", prefixes: dict[str, str] | None = None) -> str:
     """One file for schema-sized graphs, streamed through the driver: ``xml``, ``turtle`` or ``nt``. Tables go to ``write_ntriples``."""
     os.makedirs(os.path.dirname(os.path.abspath(path)), exist_ok=True)
-    names = {"rdf": RDF, "rdfs": "http://www.w3.org/2000/01/rdf-schema#", "owl": "http://www.w3.org/2002/07/owl#", "xsd": XSD} | (prefixes or {})
+    text = render(g, fmt, prefixes)
     with open(path, "w", encoding="utf-8") as f:
-        if fmt == "nt":
-            for r in nt_lines(g.distinct()).orderBy("value").toLocalIterator():
-                f.write(r["value"] + "\n")
-        elif fmt == "turtle":
-            esc = lambda t: t.replace("\\", "\\\\").replace('"', '\\"').replace("\n", "\\n").replace("\r", "\\r")
-
-            def term(t: str) -> str:
-                if t.startswith("_:"):
-                    return t
-                for p, ns in names.items():
-                    if t.startswith(ns) and re.fullmatch(r"[A-Za-z_][\w-]*", t[len(ns) :]):
-                        return f"{p}:{t[len(ns) :]}"
-                return f"<{t}>"
-
-            for p, ns in names.items():
-                f.write(f"@prefix {p}: <{ns}> .\n")
-            for s, group in _by_subject(g):
-                lines = []
-                for r in group:
-                    o = f'"{esc(r["o"])}"' + (f"^^{term(r['o_datatype'])}" if r["o_datatype"] else f"@{r['o_lang']}" if r["o_lang"] else "") if r["o_kind"] == "literal" else term(r["o"])
-                    lines.append(f"{'a' if r['p'] == TYPE else term(r['p'])} {o}")
-                f.write(f"\n{term(s)} " + " ;\n    ".join(lines) + " .\n")
-        elif fmt == "xml":
-            f.write(f'<?xml version="1.0" encoding="utf-8"?>\n<rdf:RDF xmlns:rdf="{RDF}">\n')
-            for s, group in _by_subject(g):
-                f.write("  <rdf:Description " + (f"rdf:nodeID={quoteattr(re.sub(r'\W', '_', s[2:]))}" if s.startswith("_:") else f"rdf:about={quoteattr(s)}") + ">\n")
-                for r in group:
-                    cutoff = max(r["p"].rfind("#"), r["p"].rfind("/")) + 1
-                    ns, local = r["p"][:cutoff], r["p"][cutoff:]
-                    head = f"    <p:{local} xmlns:p={quoteattr(ns)}"
-                    if r["o_kind"] == "literal":
-                        extra = f" rdf:datatype={quoteattr(r['o_datatype'])}" if r["o_datatype"] else f" xml:lang={quoteattr(r['o_lang'])}" if r["o_lang"] else ""
-                        f.write(f"{head}{extra}>{escape(r['o'])}</p:{local}>\n")
-                    else:
-                        ref = f"rdf:nodeID={quoteattr(re.sub(r'\W', '_', r['o'][2:]))}" if r["o"].startswith("_:") else f"rdf:resource={quoteattr(r['o'])}"
-                        f.write(f"{head} {ref}/>\n")
-                f.write("  </rdf:Description>\n")
-            f.write("</rdf:RDF>\n")
-        else:
-            raise ValueError(f"unknown format: {fmt}")
+        f.writelines(text)
     return path
 
 

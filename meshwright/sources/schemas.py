@@ -18,10 +18,15 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meshwright.functions.terms import CSV_TYPES, GENERIC_TYPES, JSON_TYPES, UNSAFE, boolean_token, date_like, decimal_token, integer_token
+from meshwright.functions.terms import BOOLEAN_TOKENS, CSV_TYPES, DECIMAL_PATTERN, GENERIC_TYPES, INTEGER_PATTERN, JSON_TYPES, SIMPLE_TYPE_RULES, UNSAFE, boolean_token, date_like, decimal_token, integer_token
 from meshwright.operators.triples import COLUMNS, iri, literal
 from meshwright.vocab import CLASS, COMMENT, DATATYPE_PROPERTY, DOMAIN, LABEL, OBJECT_PROPERTY, ONTOLOGY, OWL, RANGE, SCHEMA_BASE, SUBCLASS, TRIPLES, TYPE, XSD
 
+#: Texts that conversions emit.
+ROW_COMMENT, ALLOWED, UNION_COMMENT = "Represents a row in {}", "Allowed value: {}", "Union type: {}"
+VARIANT_COMMENTS = {"allOf": None, "anyOf": "Any of {} variants", "oneOf": "Exactly one of {} variants"}
+RESTRICTION, PATTERN, ADDITIONAL, VARIANT = "{}_Required_Restriction", "{}_{}_Pattern", "{}_AdditionalProperty", "{}_{}Variant"
+
 _UNSAFE = str.maketrans(dict.fromkeys(UNSAFE, "_"))
 
 
@@ -63,7 +68,7 @@ class Builder:
         return me
 
     def require(self, prop_name: str, prop: str, owner: str) -> None:
-        r = self.name(f"{prop_name}_Required_Restriction")
+        r = self.name(RESTRICTION.format(prop_name))
         self.add(iri(r, TYPE, f"{OWL}Restriction"), iri(r, f"{OWL}onProperty", prop), literal(r, f"{OWL}minCardinality", "1", f"{XSD}integer"), iri(owner, SUBCLASS, r))
 
     def counts(self) -> dict[str, int]:
@@ -128,9 +133,9 @@ def infer_type(values: list[str]) -> str:
     """boolean, integer, decimal, date, string: the first that all values that aren't blank fit; string if there are none."""
     seen = [v.strip() for v in values if v and v.strip()]
     tests = (
-        ("boolean", lambda v: v.lower() in ("true", "false", "yes", "no", "0", "1", "t", "f", "y", "n")),
-        ("integer", lambda v: re.fullmatch(r"[+-]?\d+(_\d+)*", v, re.A)),
-        ("decimal", lambda v: re.fullmatch(r"(?i)[+-]?((\d+(_\d+)*)(\.(\d+(_\d+)*)?)?(e[+-]?\d+)?|\.\d+(_\d+)*(e[+-]?\d+)?|nan|inf|infinity)", v, re.A)),
+        ("boolean", lambda v: v.lower() in BOOLEAN_TOKENS),
+        ("integer", lambda v: re.fullmatch(INTEGER_PATTERN, v)),
+        ("decimal", lambda v: re.fullmatch(DECIMAL_PATTERN, v)),
         ("date", lambda v: sum(c in "0123456789" for c in v) >= 4 and any(c in "-/." for c in v)),
     )
     return next((kind for kind, fits in tests if seen and all(fits(v) for v in seen)), "string")
@@ -176,7 +181,7 @@ class TableConverter(Converter):
             raise ValueError(f"no columns in {name}")
         out = Builder(self.base)
         row_class = meta.get("row_class", o.get("row_class", "Row"))
-        owner = out.term(row_class, CLASS, meta.get("title", row_class), meta.get("description", f"Represents a row in {os.path.basename(name)}"))
+        owner = out.term(row_class, CLASS, meta.get("title", row_class), meta.get("description", ROW_COMMENT.format(os.path.basename(name))))
         for i, column in enumerate(columns):
             about = metadata_of_column(meta, column, i)
             prop = about.get("name") or column
@@ -242,7 +247,7 @@ class JsonSchemaConverter(Converter):
             return f"{XSD}string"
         if "$ref" in s:
             return self.reference(s["$ref"])
-        for word, text in (("allOf", None), ("anyOf", "Any of {} variants"), ("oneOf", "Exactly one of {} variants")):
+        for word, text in VARIANT_COMMENTS.items():
             if word in s:
                 return self.combined(s, name, word, text)
         kind = s.get("type")
@@ -260,9 +265,9 @@ class JsonSchemaConverter(Converter):
         me = self.out.term(name, CLASS, s.get("title", name), s.get("description"))
         required = set(s.get("required") or [])
         members = [(k, v, k in required) for k, v in (s.get("properties") or {}).items()]
-        members += [(f"{name}_{sanitize(k)}_Pattern", v, False) for k, v in (s.get("patternProperties") or {}).items()]
+        members += [(PATTERN.format(name, sanitize(k)), v, False) for k, v in (s.get("patternProperties") or {}).items()]
         if isinstance(s.get("additionalProperties"), dict):
-            members.append((f"{name}_AdditionalProperty", s["additionalProperties"], False))
+            members.append((ADDITIONAL.format(name), s["additionalProperties"], False))
         for key, value, needed in members:
             self.property(f"{name}_{key}" if self.options.get("class_scoped") else key, value if isinstance(value, dict) else {}, me, needed)
         return me
@@ -290,7 +295,7 @@ class JsonSchemaConverter(Converter):
         if needed:
             self.out.require(name, me, owner)
         for value in s.get("enum") or []:
-            self.out.add(literal(me, COMMENT, f"Allowed value: {value}"))
+            self.out.add(literal(me, COMMENT, ALLOWED.format(value)))
 
     def combined(self, s: dict, name: str, word: str, text: str | None) -> str:
         parts = s[word]
@@ -303,9 +308,9 @@ class JsonSchemaConverter(Converter):
         return me
 
     def variants(self, s: dict, name: str, kinds: list[str]) -> str:
-        me = self.out.term(name, CLASS, s.get("title", name), f"Union type: {', '.join(kinds)}")
+        me = self.out.term(name, CLASS, s.get("title", name), UNION_COMMENT.format(", ".join(kinds)))
         for k in kinds:
-            self.out.add(iri(me, SUBCLASS, self.schema({**s, "type": k}, f"{name}_{k}Variant")))
+            self.out.add(iri(me, SUBCLASS, self.schema({**s, "type": k}, VARIANT.format(name, k))))
         return me
 
 
@@ -325,13 +330,9 @@ def builtin_range(local: str) -> str | None:
 
 
 def simple_range(name: str) -> str:
-    """A user type by what its name holds; the order matters."""
+    """A user type by what its name holds."""
     n = name.lower()
-    rules = (
-        ("integer", lambda: any(w in n for w in ("int", "long", "short", "byte"))), ("decimal", lambda: any(w in n for w in ("decimal", "float", "double", "number"))),
-        ("dateTime", lambda: "date" in n and "time" in n), ("date", lambda: n == "date"), ("time", lambda: "time" in n), ("boolean", lambda: "bool" in n), ("anyURI", lambda: "uri" in n),
-    )
-    return next((kind for kind, fits in rules if fits()), "string")
+    return next((kind for kind, pattern in SIMPLE_TYPE_RULES if re.search(pattern, n)), "string")
 
 
 class XmlSchemaConverter(Converter):
@@ -384,14 +385,14 @@ class XmlSchemaConverter(Converter):
             return self.complex(inline, hint) if inline.tag == f"{_XS}complexType" else self.simple(inline, hint)
         return f"{XSD}string"
 
-    def simple(self, e: ET.Element, name: str, depth: int = 0) -> str:
+    def simple(self, e: ET.Element, name: str, above: tuple = ()) -> str:
         r = e.find(f"{_XS}restriction")
-        if r is not None and r.get("base") and depth < 50:
+        if r is not None and r.get("base") and id(e) not in above:  # a type that restricts itself ends here
             ns, local = self.qname(r.get("base"))
             if ns == _XS[1:-1]:
                 return XSD + (builtin_range(local) or simple_range(local))
             if (found := self.types.get(local)) is not None:
-                return self.simple(found, local, depth + 1)
+                return self.simple(found, local, (*above, id(e)))
         return XSD + simple_range(name)
 
     def complex(self, e: ET.Element, name: str) -> str:
@@ -407,11 +408,11 @@ class XmlSchemaConverter(Converter):
                     if inner.get("base"):
                         ns, local = self.qname(inner.get("base"))
                         self.out.add(iri(me, SUBCLASS, self.iri(ns, local)))
-                    self.members(inner, me, 0)
-        self.members(e, me, 0)
+                    self.members(inner, me)
+        self.members(e, me)
         return me
 
-    def members(self, e: ET.Element, me: str, depth: int) -> None:
+    def members(self, e: ET.Element, me: str, above: tuple = ()) -> None:
         for c in e:
             if c.tag == f"{_XS}attribute":
                 c = self.groups.get((c.tag, self.qname(c.get("ref"))[1]), c) if c.get("ref") else c
@@ -422,11 +423,11 @@ class XmlSchemaConverter(Converter):
             elif c.tag == f"{_XS}element":
                 self.element(c, me)
             elif c.tag in (f"{_XS}sequence", f"{_XS}choice", f"{_XS}all"):
-                self.members(c, me, depth)
-            elif c.tag in (f"{_XS}group", f"{_XS}attributeGroup") and c.get("ref") and depth < 50:
+                self.members(c, me, above)
+            elif c.tag in (f"{_XS}group", f"{_XS}attributeGroup") and c.get("ref"):
                 found = self.groups.get((c.tag, self.qname(c.get("ref"))[1]))
-                if found is not None:
-                    self.members(found, me, depth + 1)
+                if found is not None and id(found) not in above:  # a group that holds itself ends here
+                    self.members(found, me, (*above, id(found)))
 
     def element(self, e: ET.Element, owner: str | None) -> None:
         if e.get("ref"):
@@ -468,8 +469,8 @@ def convert_file(spark: SparkSession, path: str, kind: str | None = None, base:
     return spark.createDataFrame(rows, TRIPLES), c.stats
 
 
-def convert_files(spark: SparkSession, paths: str | list[str], kind: str, base: str = SCHEMA_BASE, strict: bool = True, **options) -> DataFrame:
-    """Triples of many schema files, a file per task, united as a set."""
+def convert_contents(files: DataFrame, kind: str, base: str = SCHEMA_BASE, strict: bool = True, **options) -> DataFrame:
+    """Triples of ``files(path, content)``, a file per task, united as a set. Not strict: files that can't be converted give none."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -482,8 +483,11 @@ def convert_files(spark: SparkSession, paths: str | list[str], kind: str, base:
                     rows = []
                 yield pd.DataFrame(rows, columns=COLUMNS, dtype=object)
 
-    files = spark.read.format("binaryFile").load(paths).select("path", "content")
-    return files.mapInPandas(run, "s string, p string, o string, o_kind string, o_datatype string, o_lang string").distinct()
+    return files.select("path", "content").mapInPandas(run, "s string, p string, o string, o_kind string, o_datatype string, o_lang string").distinct()
+
+
+def convert_files(spark: SparkSession, paths: str | list[str], kind: str, base: str = SCHEMA_BASE, strict: bool = True, **options) -> DataFrame:
+    return convert_contents(spark.read.format("binaryFile").load(paths), kind, base, strict, **options)
 
 
 def report(stats: dict, title: str = "Conversion report") -> str:

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import os
-from collections.abc import Callable
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -19,8 +18,11 @@ HEADER = ("# Fused mapping set from multiple ontology matchers", "# Fusion metho
 def normalise(rows: DataFrame, matcher: str, position: int = 0, compat_zero_confidence: bool = False) -> DataFrame:
     """Rows under the mapping schema: aliases, defaults, rows without subject or object dropped.
 
+    ``ord`` holds the position of the matcher (up to 127) above the row's number, whose partition then has 23 bits.
     ``compat_zero_confidence``: a confidence of 0 counts as missing.
     """
+    if not 0 <= position < 128:
+        raise ValueError("at most 128 matchers keep their order")
     have = set(rows.columns)
 
     def value(name: str):
@@ -34,7 +36,7 @@ def normalise(rows: DataFrame, matcher: str, position: int = 0, compat_zero_conf
         return F.coalesce(*found) if found else F.lit(None).cast("string")
 
     order = F.col("_ord") if "_ord" in have else F.monotonically_increasing_id()
-    out = rows.select(*[value(n).alias(n) for n in ("subject_id", "object_id", "predicate_id", "confidence")], F.lit(matcher).alias("matcher_name"), value("mapping_justification").alias("mapping_justification"), (order + F.lit(position).cast("long") * F.lit(1 << 48)).alias("ord"))
+    out = rows.select(*[value(n).alias(n) for n in ("subject_id", "object_id", "predicate_id", "confidence")], F.lit(matcher).alias("matcher_name"), value("mapping_justification").alias("mapping_justification"), (order + F.lit(position << 56)).alias("ord"))
     return out.where("subject_id is not null and object_id is not null").select(*MAPPINGS.names)
 
 
@@ -91,5 +93,3 @@ def expand_predicates(mappings: DataFrame, prefixes: dict[str, str] | None = Non
     head = F.substring_index("predicate_id", ":", 1)
     return mappings.withColumn("predicate_id", F.when(table[head].isNotNull(), F.concat(table[head], F.substr("predicate_id", F.length(head) + 2))).otherwise(F.col("predicate_id")))
 
-
-Reader = Callable[[SparkSession, str, str], DataFrame]

@@ -1,35 +1,45 @@
-"""Incremental fusion: new mapping rows arrive as a stream of files; affected keys are fused again."""
+"""Incremental fusion: new mapping rows arrive as a stream of files; only their keys' partial rows are merged and fused again."""
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from meshwright.operators.fusion import fuse
+from meshwright.operators.fusion import finish, merge, partial
 from meshwright.vocab import KEY, MAPPINGS
 
 
-def fold(batch: DataFrame, buckets: int = 64) -> DataFrame:
+def fold(batch: DataFrame, buckets: int) -> DataFrame:
     """A batch with the bucket that its keys belong to."""
     return batch.withColumn("bucket", F.pmod(F.xxhash64(*KEY), F.lit(buckets)).cast("int"))
 
 
 def start(spark: SparkSession, source: str, folder: str, checkpoint: str, buckets: int = 64, min_confidence: float = 0.0, available_now: bool = True) -> StreamingQuery:
-    """Append each micro-batch to ``folder/mappings`` and rewrite only the buckets of ``folder/fused`` that it touches.
+    """Merge each micro-batch into ``folder/partials`` (one row per key and matcher, not the history) and rewrite only the buckets of ``folder/fused`` that it touches.
 
-    A batch that is repeated after a failure replaces its own rows, so the result doesn't depend on restarts.
+    The merge takes a batch that is repeated after a failure as one, so the result doesn't depend on restarts. Choose ``buckets`` so that a bucket's partial rows are a few files.
     """
-    store, fused = f"{folder}/mappings", f"{folder}/fused"
+    store, fused = f"{folder}/partials", f"{folder}/fused"
+    schema = partial(spark.createDataFrame([], MAPPINGS)).withColumn("bucket", F.lit(0)).schema
+
+    def replace(df: DataFrame, path: str) -> None:
+        df.repartition("bucket").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("bucket").parquet(path)
 
     def step(batch: DataFrame, number: int) -> None:
-        rows = fold(batch, buckets).withColumn("batch", F.lit(number)).persist()
+        rows = fold(partial(batch, min_confidence), buckets).persist()
         touched = [r["bucket"] for r in rows.select("bucket").distinct().collect()]  # at most ``buckets``
         if touched:
-            rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch", "bucket").parquet(store)
-            known = spark.read.parquet(store).where(F.col("bucket").isin(touched))
-            again = fold(fuse(known.select(*MAPPINGS.names), min_confidence), buckets)
-            again.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("bucket").parquet(fused)
+            try:
+                known = spark.read.schema(schema).parquet(store).where(F.col("bucket").isin(touched))
+            except AnalysisException:  # the first batch
+                known = spark.createDataFrame([], schema)
+            merged = fold(merge(rows.unionByName(known)), buckets).persist()
+            merged.count()
+            replace(merged, store)
+            replace(fold(finish(merged), buckets), fused)
+            merged.unpersist()
         rows.unpersist()
 
     stream = spark.readStream.schema(MAPPINGS).parquet(source)

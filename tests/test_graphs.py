@@ -1,10 +1,12 @@
+import random
+
 import pytest
 
 from meshwright.operators import matching, reasoning, validation
 from meshwright.operators import triples as tr
 from meshwright.operators.triples import graph, iri, literal
 from meshwright.sources import meta, rdf
-from meshwright.vocab import CLASS, COMMENT, DATATYPE_PROPERTY, DOMAIN, LABEL, META, OBJECT_PROPERTY, OWL, RANGE, RDFS, SUBCLASS, TYPE
+from meshwright.vocab import CLASS, COMMENT, DATATYPE_PROPERTY, DOMAIN, LABEL, META, OBJECT_PROPERTY, OWL, RANGE, RDFS, SUBCLASS, TRIPLES, TYPE
 
 
 def edges(spark, pairs):
@@ -135,3 +137,76 @@ def test_parallel_matchers_report_failures(spark):
     out = matching.run_alignment_parallel(g, g, [matching.LexicalExact(), Broken()])
     assert [r.success for r in out] == [True, False] and out[1].error == "no" and matching.all_mappings(out).count() == 21
     assert matching.selected(["lexicalexact", "nope"])[1] == ["nope"]
+
+
+def _labels(spark, names, prefix):
+    rows = [t for i, n in enumerate(names) for t in ((f"{prefix}{i}", TYPE, CLASS, "iri"), (f"{prefix}{i}", LABEL, n, "literal"))]
+    return spark.createDataFrame([(*r, None, None) for r in rows], TRIPLES)
+
+
+@pytest.mark.parametrize("threshold", [0.8, 0.6, 0.9, 1.0])
+def test_edit_distance_finds_all_pairs(spark, threshold):
+    from meshwright.operators.matching import EditDistance
+
+    rng = random.Random(3)
+    names = ["".join(rng.choices("abc", k=rng.randint(1, 9))) for _ in range(90)] + ["total", "order", "abcde"]
+    other = ["".join(rng.choices("abc", k=rng.randint(1, 9))) for _ in range(90)] + ["tokal", "orler", "abxde", "abcxde"]
+
+    def distance(a, b):
+        row = list(range(len(b) + 1))
+        for i, x in enumerate(a):
+            row = following(row, x, b, i)
+        return row[-1]
+
+    def following(row, x, b, i):
+        out = [i + 1]
+        for j, y in enumerate(b):
+            out.append(min(out[-1] + 1, row[j + 1] + 1, row[j] + (x != y)))
+        return out
+
+    want = {(f"a:{i}", f"b:{j}") for i, a in enumerate(names) for j, b in enumerate(other) if 1 - distance(a, b) / max(len(a), len(b)) >= threshold - 1e-9}
+    got = {(r.subject_id, r.object_id) for r in EditDistance(threshold).align(_labels(spark, names, "a:"), _labels(spark, other, "b:")).collect()}
+    assert got == want
+
+
+@pytest.mark.parametrize("threshold", [0.5, 0.34, 0.75, 1.0])
+def test_shared_words_find_all_pairs(spark, threshold):
+    from meshwright.operators.matching import TokenJaccard
+
+    rng = random.Random(5)
+    make = lambda n: [" ".join(rng.choices("nation a b c d e f".split(), [5, 1, 1, 1, 1, 1, 1], k=rng.randint(1, 5))) for _ in range(n)]
+    a, b = make(60), make(60)
+    score = lambda x, y: len(set(x.split()) & set(y.split())) / len(set(x.split()) | set(y.split()))
+    want = {(f"a:{i}", f"b:{j}") for i, x in enumerate(a) for j, y in enumerate(b) if score(x, y) >= threshold}
+    assert {(r.subject_id, r.object_id) for r in TokenJaccard(threshold).align(_labels(spark, a, "a:"), _labels(spark, b, "b:")).collect()} == want
+
+
+def test_long_ntriples_and_malformed_lines(spark):
+    text = 'a\\"' * 300_000
+    lines = spark.createDataFrame([(f'<urn:a> <urn:p> "{text}" .',), ("_:" + "b." * 50_000 + "c <urn:p> _:" + "d." * 50_000 + "e .",), ("<urn:a> nonsense",)], "value string")
+    got = rdf.parse_ntriples(lines).collect()
+    assert len(got) == 2 and max(len(r.o) for r in got if r.o_kind == "literal") == 600_000
+    with pytest.raises(Exception, match="unexpected line"):
+        rdf.parse_ntriples(lines, strict=True).collect()
+
+
+def test_deep_hierarchies_are_whole_or_an_error(spark):
+    rows = [(f"n{i + 1:04d}", SUBCLASS, f"n{i:04d}", "iri", None, None) for i in range(30)]
+    g = spark.createDataFrame(rows, TRIPLES)
+    assert reasoning.hierarchy_lines(g, "n0000").count() == 31
+    with pytest.raises(RuntimeError, match="deeper"):
+        reasoning.hierarchy_lines(g, "n0000", max_depth=10)
+    diamond = [("b", SUBCLASS, "a"), ("c", SUBCLASS, "a"), ("d", SUBCLASS, "b"), ("d", SUBCLASS, "c")]
+    g = spark.createDataFrame([(*r, "iri", None, None) for r in diamond], TRIPLES)
+    assert reasoning.hierarchy_lines(g, "a").count() == 5 and reasoning.hierarchy_lines(g, "a", all_paths=False).count() == 4
+
+
+def test_closure_equals_search_on_random_graphs(spark):
+    rng = random.Random(2)
+    for _ in range(3):
+        pairs = {(rng.randrange(14), rng.randrange(14)) for _ in range(18)}
+        known = set(pairs)
+        while more := {(a, d) for a, b in known for c, d in pairs if b == c} - known:
+            known |= more
+        got = reasoning.closure(spark.createDataFrame([(str(a), str(b)) for a, b in pairs], "s string, o string")).collect()
+        assert {(int(r.s), int(r.o)) for r in got} == known and len(got) == len(known)

@@ -38,7 +38,7 @@ def test_run_and_resume(spark, tmp_path):
 def test_failures_are_recorded_or_raised(spark, tmp_path):
     bad = [{"id": "bad", "fetch": {"path": "none.xsd"}}, {"id": "far", "fetch": {"type": "git", "url": "x"}}]
     with pytest.raises(errors.FetchError):
-        pipeline.orchestrate(spark, write(tmp_path, sources=bad), str(tmp_path / "a"))
+        pipeline.orchestrate(spark, write(tmp_path, sources=bad, pipeline={"fail_fast": True, "retry_delay": 0}), str(tmp_path / "a"))
     out = pipeline.orchestrate(spark, write(tmp_path, sources=bad, pipeline={"fail_fast": False, "retry_delay": 0, "parallel_sources": True}), str(tmp_path / "b"))
     assert [e["source"] for e in out.errors] == ["bad", "far"] and spark.read.parquet(out.merged).count() == 100
 

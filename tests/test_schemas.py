@@ -107,3 +107,16 @@ def test_many_files(spark, tmp_path):
     with pytest.raises(ValueError):
         sc.converter("nope")
     assert sc.report({"object_properties": 2}).endswith("Object Properties: 2\n")
+
+
+def test_deep_and_circular_groups_and_types():
+    depth = 120
+    groups = "".join(f'<xs:attributeGroup name="g{i}"><xs:attributeGroup ref="g{i + 1}"/></xs:attributeGroup>' for i in range(depth))
+    types = "".join(f'<xs:simpleType name="t{i}"><xs:restriction base="t{i + 1}"/></xs:simpleType>' for i in range(depth))
+    text = f"""<xs:schema xmlns:xs="http://www.w3.org/2001/XMLSchema">{groups}{types}<xs:simpleType name="t{depth}"><xs:restriction base="xs:decimal"/></xs:simpleType>
+    <xs:simpleType name="loop"><xs:restriction base="loop"/></xs:simpleType>
+    <xs:attributeGroup name="g{depth}"><xs:attribute name="last" type="t0"/><xs:attribute name="odd" type="loop"/><xs:attributeGroup ref="g0"/></xs:attributeGroup>
+    <xs:complexType name="T"><xs:attributeGroup ref="g0"/></xs:complexType></xs:schema>"""
+    rows = sc.converter("xsd").convert("x.xsd", text.encode()).rows
+    found = {(r[0].rsplit("/", 1)[-1].rsplit("#", 1)[-1], r[2]) for r in rows if r[1] == RANGE}
+    assert found == {("last", f"{XSD}decimal"), ("odd", f"{XSD}string")}
