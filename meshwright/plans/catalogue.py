@@ -94,9 +94,9 @@ def combined_intersection(spark, d):
 _W = "CASE matcher_name WHEN 'AML' THEN 0.5 WHEN 'BERTMap' THEN 0.2 ELSE 0.3 END"
 
 
-@query(f"{MAPPINGS_SQL} SELECT subject_id, object_id, round(sum(confidence * {_W}) / sum({_W}), 6) AS confidence FROM m GROUP BY ALL")
+@query(f"{MAPPINGS_SQL} SELECT subject_id, object_id, round(sum(confidence * {_W}) / sum({_W}) + 1e-9, 6) AS confidence FROM m GROUP BY ALL")
 def combined_weighted(spark, d):
-    return fusion.combine(v.mappings(spark, d), "weighted", weights=WEIGHTS).select("subject_id", "object_id", F.round("confidence", 6).alias("confidence"))
+    return fusion.combine(v.mappings(spark, d), "weighted", weights=WEIGHTS).select("subject_id", "object_id", F.round(F.col("confidence") + 1e-9, 6).alias("confidence"))  # sums in another order must not round apart
 
 
 @query(f"SELECT DISTINCT 'part:' || p_partkey AS subject_id, 'part:' || p_partkey AS key, CAST(p_partkey % 3 AS BIGINT) AS first_table FROM part")
@@ -618,23 +618,7 @@ def csv_type_inference(spark, d):
     return schemas.infer_types(e)
 
 
-# --- schema conversion, files: no SQL --------------------------------------------------------------
-
-
-@query()
-def converted_tables(spark, d):
-    """Types of all columns of a table over all rows, as the ontology of that table."""
-    out = None
-    for name in ("region", "nation", "part"):
-        t = v.table(spark, d, name)
-        kinds = schemas.infer_types(t.select([F.col(c).cast("string").alias(c) for c in t.columns])).collect()  # a row per column
-        b = schemas.Builder()
-        owner = b.term(name, CLASS, name)
-        for r in kinds:
-            b.term(schemas.sanitize_column(r["column"]), DATATYPE_PROPERTY, r["column"], None, owner, XSD + fn.CSV_TYPES.get(r["type"], "string"))
-        g = rdf.from_rows(spark, list(b.rows))
-        out = g if out is None else tr.union(out, g)
-    return out.select("s", "p", "o")
+# --- exports ---------------------------------------------------------------------------------------
 
 
 @query(f"{TRIPLES_SQL} SELECT CASE WHEN starts_with(s, '_:') THEN s ELSE '<' || s || '>' END || ' <' || p || '> ' || CASE WHEN o_kind = 'literal' THEN '\"' || o || '\"' WHEN starts_with(o, '_:') THEN o ELSE '<' || o || '>' END || ' .' AS value FROM g")

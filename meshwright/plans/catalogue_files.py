@@ -187,6 +187,27 @@ def names_and_titles(spark, d):
     return v.table(spark, d, "part").select(F.col("p_partkey").alias("k"), fn.sanitize_column_name(column).alias("col"), fn.name_of_location(place).alias("stem"), fn.stat_title(F.concat(F.lit("name_of_"), k)).alias("title"), fn.alignment_predicate(kind).alias("predicate"))
 
 
+_COLUMNS = {"region": {"r_regionkey": "integer", "r_name": "string"}, "nation": {"n_nationkey": "integer", "n_name": "string", "n_regionkey": "integer"}}
+_COLUMNS["part"] = {"p_partkey": "integer", "p_name": "string", "p_brand": "string", "p_type": "string", "p_size": "integer", "p_retailprice": "decimal"}
+_COLUMN_ROWS = [r for t, cs in _COLUMNS.items() for r in [*said(f"{B}{t}", CLASS, t), *(x for c, k in cs.items() for x in said(f"{B}{c}", DATATYPE_PROPERTY, c, (DOMAIN, f"{B}{t}"), (RANGE, f"{XSD}{k}")))]]
+
+
+@query(expected([], SUPPLIERS, [ROOT, *_COLUMN_ROWS]))
+def converted_tables(spark, d):
+    """Types of all columns of a table over all rows, as the ontology of that table."""
+    out = None
+    for name in ("region", "nation", "part"):
+        t = v.table(spark, d, name)
+        kinds = schemas.infer_types(t.select([F.col(c).cast("string").alias(c) for c in t.columns])).collect()  # a row per column
+        b = schemas.Builder()
+        owner = b.term(name, CLASS, name)
+        for r in kinds:
+            b.term(schemas.sanitize_column(r["column"]), DATATYPE_PROPERTY, r["column"], None, owner, XSD + fn.CSV_TYPES.get(r["type"], "string"))
+        g = rdf.from_rows(spark, list(b.rows))
+        out = g if out is None else tr.union(out, g)
+    return shown(out)
+
+
 # --- files -----------------------------------------------------------------------------------------
 
 _NAMED = "SELECT 'urn:c:' || c_custkey AS s, 'urn:p' AS p, c_name || chr(10) || '\"é😀\\' || chr(9) || c_nationkey AS o, 'literal' AS o_kind FROM customer"
