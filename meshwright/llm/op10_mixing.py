@@ -27,7 +27,7 @@ TARGET = {"low_clean": 0.04, "low_toxic": 0.0, "high_clean": 0.95, "high_toxic":
 #: Targets are shares of the table's tokens times this.
 VOLUME = 1.0
 SAMPLE = 6000
-STEPS, TOLERANCE = 25, 1e-6
+STEPS, TOLERANCE = 5, 1e-6
 #: Largest distance of the domain totals from the least-squares optimum's, as a share of the tokens.
 GAP = 1e-3
 
