@@ -4,7 +4,7 @@ A classifier fitted on the labelled table gives every document posteriors over d
 minimise the squared difference between the expected domain totals, sum r_d tokens_d p_dk, and the targets, by projected gradient
 descent from r = 1: a step adds p_d . y to every rate and clips at zero. The totals of a step are one distributed aggregate; only
 vectors with one number per domain reach the driver. Distances are scaled by the inverse of sum tokens p p^T, for which a unit step descends.
-If the totals still differ after STEPS such steps, implicit steps follow (the gradient is taken where the step ends, which Newton's method finds
+If the totals still differ after STEPS such steps, or these get hardly smaller, implicit steps follow (the gradient is taken where the step ends, which Newton's method finds
 from the same kind of sums), each longer than the last, until a dual bound proves that the totals are within GAP of the least-squares ones.
 """
 
@@ -27,7 +27,9 @@ TARGET = {"low_clean": 0.04, "low_toxic": 0.0, "high_clean": 0.95, "high_toxic":
 #: Targets are shares of the table's tokens times this.
 VOLUME = 1.0
 SAMPLE = 6000
-STEPS, TOLERANCE = 5, 1e-6
+STEPS, TOLERANCE = 25, 1e-6
+#: Plain steps end early if so many of them haven't halved the step.
+STALL = 4
 #: Largest distance of the domain totals from the least-squares optimum's, as a share of the tokens.
 GAP = 1e-3
 
@@ -177,11 +179,15 @@ def fit_rates(table_: DataFrame, target: dict[str, float] | None = None, volume:
     goal = np.array([target[d] for d in DOMAINS]) * volume * first["t"]
     scale = np.linalg.pinv(a + 1e-9 * np.trace(a) * np.eye(k))
     history: list[np.ndarray] = []
+    sizes: list[float] = []
     for _ in range(steps):
         got = table_.select("tokens", "p", rate(history, floor=floor).alias("r")).agg(*[F.sum(F.col("r") * F.col("tokens") * F.get("p", F.lit(i))) for i in range(k)]).first()
         step = scale @ (np.array(got, float) - goal)
-        if np.abs(step).max() <= tolerance:
+        sizes.append(float(np.abs(step).max()))
+        if sizes[-1] <= tolerance:
             return history
+        if len(sizes) > STALL and sizes[-1] > sizes[-1 - STALL] / 2:
+            break
         history.append(step)
     low = (F.lit(0.0) if floor is None else floor).cast("double")
     rest = written(table_.select("p", rate(history, floor=floor).alias("r"), low.alias("floor"), (F.col("tokens") / F.lit(float(first["t"]))).alias("share")), "rates")
