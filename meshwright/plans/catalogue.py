@@ -60,7 +60,9 @@ def fused(spark, d):
     return _shown(_fused(spark, d))
 
 
-@query(f"{FUSED}, js AS (SELECT {_COLS}, string_agg(mapping_justification, '; ' ORDER BY ord) AS j FROM m GROUP BY ALL) SELECT {_COLS}, j AS mapping_justification, array_to_string(list_transform(list_zip(ms, cs), lambda x: x[1] || '=' || CAST(CAST(round(x[2] * 50) AS INTEGER) AS VARCHAR)), ',') AS confidences FROM fused JOIN js USING (subject_id, object_id, predicate_id)")
+@query(f"""{FUSED}, js AS (SELECT {_COLS}, string_agg(mapping_justification, '; ' ORDER BY ord) AS j FROM m
+ GROUP BY ALL) SELECT {_COLS}, j AS mapping_justification, array_to_string(list_transform(list_zip(ms, cs), lambda x: x[1] || '=' || CAST(CAST(round(x[2] * 50) AS INTEGER) AS VARCHAR)), ',') AS confidences
+ FROM fused JOIN js USING (subject_id, object_id, predicate_id)""")
 def fused_details(spark, d):
     each = F.transform("supporting_matchers", lambda m: F.concat(m, F.lit("="), F.round(F.col("confidences")[m] * 50).cast("int").cast("string")))
     return _fused(spark, d).select(*KEY, "mapping_justification", F.array_join(each, ",").alias("confidences"))
@@ -81,7 +83,8 @@ def fused_min_consensus(spark, d):
     return _shown(fusion.filter_by_consensus(_fused(spark, d)))
 
 
-@query(f"{MAPPINGS_SQL} SELECT subject_id, object_id, arg_max(predicate_id, (confidence, -0.0)) AS predicate_id, round(max(confidence), 6) AS confidence FROM (SELECT DISTINCT ON (subject_id, object_id) * FROM m ORDER BY subject_id, object_id, confidence DESC, ord) GROUP BY ALL")
+@query(f"""{MAPPINGS_SQL} SELECT subject_id, object_id, arg_max(predicate_id, (confidence, -0.0)) AS predicate_id, round(max(confidence), 6) AS confidence
+ FROM (SELECT DISTINCT ON (subject_id, object_id) * FROM m ORDER BY subject_id, object_id, confidence DESC, ord) GROUP BY ALL""")
 def combined_union(spark, d):
     return fusion.combine(v.mappings(spark, d), "union").select("subject_id", "object_id", "predicate_id", F.round("confidence", 6).alias("confidence"))
 
@@ -160,7 +163,8 @@ def resolve_keep_all(spark, d):
 # --- quality ---------------------------------------------------------------------------------------
 
 
-@query(f"{FUSED} SELECT count(*) AS total_mappings, count(DISTINCT subject_id) AS unique_subjects, count(DISTINCT object_id) AS unique_objects, round(avg(consensus), 6) AS avg_confidence, round(min(consensus), 6) AS min_confidence, round(max(consensus), 6) AS max_confidence, round(avg(support_count), 6) AS avg_support, min(support_count) AS min_support, max(support_count) AS max_support, round(count(*) / greatest(1, count(DISTINCT subject_id)), 6) AS coverage FROM fused")
+@query(f"""{FUSED} SELECT count(*) AS total_mappings, count(DISTINCT subject_id) AS unique_subjects, count(DISTINCT object_id) AS unique_objects, round(avg(consensus), 6) AS avg_confidence, round(min(consensus), 6) AS min_confidence, round(max(consensus), 6) AS max_confidence, round(avg(support_count), 6) AS avg_support, min(support_count) AS min_support, max(support_count) AS max_support, round(count(*) / greatest(1, count(DISTINCT subject_id)), 6) AS coverage
+ FROM fused""")
 def quality_metrics(spark, d):
     m = quality.metrics(_fused(spark, d))
     return m.select(*[F.round(c, 6).alias(c) if t == "double" else F.col(c).cast("long").alias(c) for c, t in m.dtypes])
@@ -169,7 +173,8 @@ def quality_metrics(spark, d):
 _BIN = ", ".join(f"('{n}', {a}, {b})" for a, b, n in quality.BINS)
 
 
-@query(f"{FUSED} SELECT b.bin, count(f.ord) AS n FROM (VALUES {_BIN}) b(bin, lo, hi) LEFT JOIN fused f ON f.consensus >= b.lo AND (f.consensus < b.hi OR b.hi = 1.0 AND f.consensus <= 1.0) GROUP BY b.bin")
+@query(f"""{FUSED} SELECT b.bin, count(f.ord) AS n FROM (VALUES {_BIN}) b(bin, lo, hi) LEFT
+ JOIN fused f ON f.consensus >= b.lo AND (f.consensus < b.hi OR b.hi = 1.0 AND f.consensus <= 1.0) GROUP BY b.bin""")
 def confidence_histogram(spark, d):
     return quality.confidence_histogram(_fused(spark, d))
 
@@ -184,7 +189,11 @@ def predicate_histogram(spark, d):
     return quality.predicate_histogram(_fused(spark, d))
 
 
-@query(f"{FUSED}, {GOLD_SQL}, a AS (SELECT DISTINCT {_COLS} FROM fused WHERE support_count >= 2), n AS (SELECT count(*) FILTER (a.subject_id IS NOT NULL AND g.subject_id IS NOT NULL) AS tp, count(*) FILTER (g.subject_id IS NULL) AS fp, count(*) FILTER (a.subject_id IS NULL) AS fn FROM a FULL JOIN gold g USING (subject_id, object_id, predicate_id)) SELECT tp, fp, fn, round(tp / (tp + fp), 6) AS precision, round(tp / (tp + fn), 6) AS recall, round(2 * tp / (2 * tp + fp + fn), 6) AS f1 FROM n")
+@query(f"""{FUSED}, {GOLD_SQL}, a AS (SELECT DISTINCT {_COLS} FROM fused WHERE support_count >= 2),
+ n AS (SELECT count(*) FILTER (a.subject_id IS NOT NULL AND g.subject_id IS NOT NULL) AS tp, count(*) FILTER (g.subject_id IS NULL) AS fp, count(*) FILTER (a.subject_id IS NULL) AS fn
+ FROM a FULL
+ JOIN gold g USING (subject_id, object_id, predicate_id)) SELECT tp, fp, fn, round(tp / (tp + fp), 6) AS precision, round(tp / (tp + fn), 6) AS recall, round(2 * tp / (2 * tp + fp + fn), 6) AS f1
+ FROM n""")
 def precision_recall(spark, d):
     return quality.precision_recall(fusion.filter_by_support(_fused(spark, d)), v.gold(spark, d)).select("tp", "fp", "fn", *[F.round(c, 6).alias(c) for c in ("precision", "recall", "f1")])
 
@@ -207,17 +216,24 @@ def matcher_agreement(spark, d):
     return quality.agreement(_fused(spark, d)).select("m1", "m2", "both", "either", F.round("jaccard", 6).alias("jaccard"))
 
 
-@query(f"{FUSED}, {GOLD_SQL} SELECT matcher, count(*) AS n, round(avg(hit), 6) AS precision FROM (SELECT unnest(ms) AS matcher, CASE WHEN g.subject_id IS NULL THEN 0.0 ELSE 1.0 END AS hit FROM fused f LEFT JOIN gold g USING (subject_id, object_id, predicate_id)) GROUP BY 1")
+@query(f"""{FUSED}, {GOLD_SQL} SELECT matcher, count(*) AS n, round(avg(hit), 6) AS precision
+ FROM (SELECT unnest(ms) AS matcher, CASE WHEN g.subject_id IS NULL THEN 0.0 ELSE 1.0 END AS hit FROM fused f LEFT
+ JOIN gold g USING (subject_id, object_id, predicate_id)) GROUP BY 1""")
 def matcher_precision(spark, d):
     return quality.matcher_precision(_fused(spark, d), v.gold(spark, d)).select("matcher", "n", F.round("precision", 6).alias("precision"))
 
 
-@query(f"{FUSED}, {_AGREE}, s AS (SELECT m AS matcher, avg(shared / either) AS score FROM (SELECT m1 AS m, shared, either FROM ag UNION ALL SELECT m2, shared, either FROM ag) GROUP BY 1) SELECT matcher, round(score, 6) AS score, round(score / sum(score) OVER (), 6) AS weight FROM s")
+@query(f"""{FUSED}, {_AGREE}, s AS (SELECT m AS matcher, avg(shared / either) AS score FROM (SELECT m1 AS m, shared, either FROM ag
+ UNION ALL SELECT m2, shared, either FROM ag) GROUP BY 1) SELECT matcher, round(score, 6) AS score, round(score / sum(score) OVER (), 6) AS weight
+ FROM s""")
 def weights_by_agreement(spark, d):
     return quality.suggest_weights(_fused(spark, d)).select("matcher", F.round("score", 6).alias("score"), F.round("weight", 6).alias("weight"))
 
 
-@query(f"{FUSED}, {GOLD_SQL}, s AS (SELECT matcher, avg(hit) AS score FROM (SELECT unnest(ms) AS matcher, CASE WHEN g.subject_id IS NULL THEN 0.0 ELSE 1.0 END AS hit FROM fused f LEFT JOIN gold g USING (subject_id, object_id, predicate_id)) GROUP BY 1) SELECT matcher, round(score, 6) AS score, round(score / sum(score) OVER (), 6) AS weight FROM s")
+@query(f"""{FUSED}, {GOLD_SQL}, s AS (SELECT matcher, avg(hit) AS score
+ FROM (SELECT unnest(ms) AS matcher, CASE WHEN g.subject_id IS NULL THEN 0.0 ELSE 1.0 END AS hit FROM fused f LEFT
+ JOIN gold g USING (subject_id, object_id, predicate_id))
+ GROUP BY 1) SELECT matcher, round(score, 6) AS score, round(score / sum(score) OVER (), 6) AS weight FROM s""")
 def weights_by_gold(spark, d):
     return quality.suggest_weights(_fused(spark, d), v.gold(spark, d)).select("matcher", F.round("score", 6).alias("score"), F.round("weight", 6).alias("weight"))
 
@@ -264,7 +280,8 @@ def class_enumeration_namespaced(spark, d):
     return tr.classes(v.triples(spark, d), (CLASS,), "nation:")
 
 
-@query(f"{TRIPLES_SQL} SELECT s, CASE WHEN bool_or(o = '{OBJECT_PROPERTY}') THEN 'object' ELSE 'datatype' END AS kind FROM g WHERE p = '{TYPE}' AND o IN ('{OBJECT_PROPERTY}', '{DATATYPE_PROPERTY}') GROUP BY s")
+@query(f"""{TRIPLES_SQL} SELECT s, CASE WHEN bool_or(o = '{OBJECT_PROPERTY}') THEN 'object' ELSE 'datatype' END AS kind FROM g
+ WHERE p = '{TYPE}' AND o IN ('{OBJECT_PROPERTY}', '{DATATYPE_PROPERTY}') GROUP BY s""")
 def property_enumeration(spark, d):
     return tr.properties(v.triples(spark, d))
 
@@ -274,7 +291,9 @@ def top_level_classes(spark, d):
     return tr.top_level_classes(v.triples(spark, d))
 
 
-@query(f"{TRIPLES_SQL}, k AS (SELECT DISTINCT s FROM g WHERE p = '{TYPE}' AND o = '{CLASS}') SELECT k.s AS cls, coalesce(string_agg(e.s, ',' ORDER BY e.s), '') AS subs FROM k LEFT JOIN (SELECT DISTINCT s, o FROM g WHERE p = '{SUBCLASS}') e ON e.o = k.s GROUP BY k.s")
+@query(f"""{TRIPLES_SQL}, k AS (SELECT DISTINCT s FROM g
+ WHERE p = '{TYPE}' AND o = '{CLASS}') SELECT k.s AS cls, coalesce(string_agg(e.s, ',' ORDER BY e.s), '') AS subs FROM k LEFT
+ JOIN (SELECT DISTINCT s, o FROM g WHERE p = '{SUBCLASS}') e ON e.o = k.s GROUP BY k.s""")
 def class_hierarchy(spark, d):
     return tr.hierarchy(v.triples(spark, d)).select("cls", F.array_join("subs", ",").alias("subs"))
 
@@ -304,17 +323,20 @@ def term_descriptions(spark, d):
     return tr.describe(v.triples(spark, d))
 
 
-@query(f"{TRIPLES_SQL} SELECT count(DISTINCT s) FILTER (o = '{CLASS}') AS classes, count(DISTINCT s) FILTER (o = '{OBJECT_PROPERTY}') AS object_properties, count(DISTINCT s) FILTER (o = '{DATATYPE_PROPERTY}') AS datatype_properties FROM g WHERE p = '{TYPE}'")
+@query(f"""{TRIPLES_SQL} SELECT count(DISTINCT s) FILTER (o = '{CLASS}') AS classes, count(DISTINCT s) FILTER (o = '{OBJECT_PROPERTY}') AS object_properties, count(DISTINCT s) FILTER (o = '{DATATYPE_PROPERTY}') AS datatype_properties
+ FROM g WHERE p = '{TYPE}'""")
 def ontology_counts(spark, d):
     return tr.ontology_counts(v.triples(spark, d))
 
 
-@query(f"{TRIPLES_SQL} SELECT DISTINCT a.s AS x, b.o AS name, c.o AS region FROM g a JOIN g b ON b.s = a.s AND b.p = '{LABEL}' JOIN g c ON c.s = a.o AND c.p = '{SUBCLASS}' WHERE a.p = '{SUBCLASS}' AND a.s <> '' ")
+@query(f"""{TRIPLES_SQL} SELECT DISTINCT a.s AS x, b.o AS name, c.o AS region FROM g a JOIN g b ON b.s = a.s AND b.p = '{LABEL}'
+ JOIN g c ON c.s = a.o AND c.p = '{SUBCLASS}' WHERE a.p = '{SUBCLASS}' AND a.s <> ''""")
 def basic_graph_pattern(spark, d):
     return tr.select_pattern(v.triples(spark, d), [("?x", SUBCLASS, "?parent"), ("?x", LABEL, "?name"), ("?parent", SUBCLASS, "?region")]).select("x", "name", "region").distinct()
 
 
-@query(f"{TRIPLES_SQL} SELECT DISTINCT s, p, o FROM (SELECT s, p, o FROM g UNION ALL SELECT 'x:New', '{TYPE}', '{RDFS}Class' UNION ALL SELECT 'x:New', '{SUBCLASS}', '{META}Entity')")
+@query(f"""{TRIPLES_SQL} SELECT DISTINCT s, p, o FROM (SELECT s, p, o FROM g UNION ALL SELECT 'x:New', '{TYPE}', '{RDFS}Class'
+ UNION ALL SELECT 'x:New', '{SUBCLASS}', '{META}Entity')""")
 def added_domain_classes(spark, d):
     g = tr.add_domain_classes(v.triples(spark, d), ["x:New"])
     return tr.add_domain_classes(g, ["x:New"]).select("s", "p", "o")
@@ -358,7 +380,9 @@ def superclasses_direct(spark, d):
     return reasoning.superclasses(v.triples(spark, d), "cust:1", True)
 
 
-@query(f"{CLOSURE_SQL} SELECT n.s AS sub, r.s AS sup, true AS strict, c.s IS NOT NULL AS found FROM (SELECT 'nation:' || n_nationkey AS s FROM nation) n CROSS JOIN (SELECT 'region:' || r_regionkey AS s FROM region) r LEFT JOIN c ON c.s = n.s AND c.o = r.s UNION ALL SELECT 'region:' || r_regionkey, 'region:' || r_regionkey, x, NOT x FROM region, (VALUES (true), (false)) t(x)", True)
+@query(f"""{CLOSURE_SQL} SELECT n.s AS sub, r.s AS sup, true AS strict, c.s IS NOT NULL AS found FROM (SELECT 'nation:' || n_nationkey AS s FROM nation) n CROSS
+ JOIN (SELECT 'region:' || r_regionkey AS s FROM region) r LEFT JOIN c ON c.s = n.s AND c.o = r.s
+ UNION ALL SELECT 'region:' || r_regionkey, 'region:' || r_regionkey, x, NOT x FROM region, (VALUES (true), (false)) t(x)""", True)
 def is_subclass_of(spark, d):
     name = lambda t, c, p: v.table(spark, d, t).select(F.concat(F.lit(p), F.col(c).cast("string")).alias("s"))
     nations, regions = name("nation", "n_nationkey", "nation:"), name("region", "r_regionkey", "region:")
@@ -381,15 +405,20 @@ def common_ancestors(spark, d):
     return reasoning.common_ancestors(reasoning.proper_ancestors(v.triples(spark, d)), _pairs(spark, d))
 
 
-@query(f"{CLOSURE_SQL}, {_PAIRS}, k AS (SELECT DISTINCT c1, c2, a.o AS anc FROM pairs JOIN c a ON a.s = c1 JOIN c b ON b.s = c2 AND b.o = a.o) SELECT c1, c2, min(anc) AS lca FROM k WHERE NOT EXISTS (SELECT 1 FROM k l JOIN c ON c.s = l.anc AND c.o = k.anc WHERE l.c1 = k.c1 AND l.c2 = k.c2) GROUP BY ALL", True)
+@query(f"""{CLOSURE_SQL}, {_PAIRS}, k AS (SELECT DISTINCT c1, c2, a.o AS anc FROM pairs JOIN c a ON a.s = c1
+ JOIN c b ON b.s = c2 AND b.o = a.o) SELECT c1, c2, min(anc) AS lca FROM k WHERE NOT EXISTS (SELECT 1 FROM k l JOIN c ON c.s = l.anc AND c.o = k.anc
+ WHERE l.c1 = k.c1 AND l.c2 = k.c2) GROUP BY ALL""", True)
 def lowest_common_ancestor(spark, d):
     return reasoning.lowest_common_ancestors(reasoning.proper_ancestors(v.triples(spark, d)), _pairs(spark, d))
 
 
-_APPLICABLE = f"k AS (SELECT DISTINCT s FROM g WHERE p = '{TYPE}' AND o = '{CLASS}'), pr AS (SELECT s, CASE WHEN bool_or(o = '{OBJECT_PROPERTY}') THEN 'object' ELSE 'datatype' END AS kind FROM g WHERE p = '{TYPE}' AND o IN ('{OBJECT_PROPERTY}', '{DATATYPE_PROPERTY}') GROUP BY s)"
+_APPLICABLE = f"""k AS (SELECT DISTINCT s FROM g WHERE p = '{TYPE}' AND o = '{CLASS}'),
+ pr AS (SELECT s, CASE WHEN bool_or(o = '{OBJECT_PROPERTY}') THEN 'object' ELSE 'datatype' END AS kind FROM g
+ WHERE p = '{TYPE}' AND o IN ('{OBJECT_PROPERTY}', '{DATATYPE_PROPERTY}') GROUP BY s)"""
 
 
-@query(f"{CLOSURE_SQL}, {_APPLICABLE}, sc AS (SELECT s AS cls, s AS at FROM k UNION SELECT c.s, c.o FROM c JOIN k ON k.s = c.s) SELECT DISTINCT cls, dm.s AS property, kind FROM sc JOIN g dm ON dm.p = '{DOMAIN}' AND dm.o = sc.at JOIN pr ON pr.s = dm.s", True)
+@query(f"""{CLOSURE_SQL}, {_APPLICABLE}, sc AS (SELECT s AS cls, s AS at FROM k UNION SELECT c.s, c.o FROM c
+ JOIN k ON k.s = c.s) SELECT DISTINCT cls, dm.s AS property, kind FROM sc JOIN g dm ON dm.p = '{DOMAIN}' AND dm.o = sc.at JOIN pr ON pr.s = dm.s""", True)
 def applicable_properties(spark, d):
     return reasoning.applicable_properties(v.triples(spark, d))
 
@@ -399,12 +428,15 @@ def applicable_properties_own(spark, d):
     return reasoning.applicable_properties(v.triples(spark, d), False)
 
 
-@query(f"{TRIPLES_SQL}, h(node, path, depth) AS (SELECT 'region:1', 'region:1', 0 UNION ALL SELECT e.s, h.path || '>' || e.s, h.depth + 1 FROM h JOIN g e ON e.p = '{SUBCLASS}' AND e.o = h.node) SELECT path, CAST(depth AS BIGINT) AS depth, repeat('  ', depth) || '- ' || l.o AS line FROM h JOIN g l ON l.s = h.node AND l.p = '{LABEL}'", True)
+@query(f"""{TRIPLES_SQL}, h(node, path, depth) AS (SELECT 'region:1', 'region:1', 0 UNION ALL SELECT e.s, h.path || '>' || e.s, h.depth + 1 FROM h
+ JOIN g e ON e.p = '{SUBCLASS}' AND e.o = h.node) SELECT path, CAST(depth AS BIGINT) AS depth, repeat('  ', depth) || '- ' || l.o AS line FROM h
+ JOIN g l ON l.s = h.node AND l.p = '{LABEL}'""", True)
 def hierarchy_lines(spark, d):
     return reasoning.hierarchy_lines(v.triples(spark, d), "region:1").select(F.array_join("path", ">").alias("path"), F.col("depth").cast("long").alias("depth"), "line")
 
 
-@query(f"{CLOSURE_SQL} SELECT 'item:' || c_custkey AS s, o FROM (SELECT c_custkey, 'cust:' || c_custkey AS s FROM customer) i JOIN (SELECT s, o FROM c UNION SELECT s, s FROM c) c USING (s)", True)
+@query(f"""{CLOSURE_SQL} SELECT 'item:' || c_custkey AS s, o FROM (SELECT c_custkey, 'cust:' || c_custkey AS s FROM customer) i JOIN (SELECT s, o FROM c
+ UNION SELECT s, s FROM c) c USING (s)""", True)
 def inferred_types(spark, d):
     items = v.table(spark, d, "customer").select(F.concat(F.lit("item:"), F.col("c_custkey").cast("string")).alias("s"), F.lit(TYPE).alias("p"), F.concat(F.lit("cust:"), F.col("c_custkey").cast("string")).alias("o"), F.lit("iri").alias("o_kind"), F.lit(None).cast("string").alias("o_datatype"), F.lit(None).cast("string").alias("o_lang"))
     g = tr.union(v.triples(spark, d), items)
@@ -424,9 +456,12 @@ def _finding(rule: str):
     return run
 
 
-query(f"{TRIPLES_SQL}, {_DECLARED} SELECT 'warning' AS severity, 'undeclared_class' AS rule, s AS subject, o AS object FROM g WHERE p = '{SUBCLASS}' AND s NOT IN (SELECT s FROM k)")(_finding("undeclared_class"))
-query(f"{TRIPLES_SQL} SELECT 'warning' AS severity, 'undeclared_property' AS rule, s AS subject, o AS object FROM g WHERE p = '{DOMAIN}' AND s NOT IN (SELECT s FROM g WHERE p = '{TYPE}' AND o IN ('{OBJECT_PROPERTY}', '{DATATYPE_PROPERTY}', '{RDF}Property'))")(_finding("undeclared_property"))
-query(f"{TRIPLES_SQL}, {_DECLARED} SELECT 'warning' AS severity, 'undeclared_domain' AS rule, s AS subject, o AS object FROM g WHERE p = '{DOMAIN}' AND o_kind = 'iri' AND o NOT IN (SELECT s FROM k)")(_finding("undeclared_domain"))
+query(f"""{TRIPLES_SQL}, {_DECLARED} SELECT 'warning' AS severity, 'undeclared_class' AS rule, s AS subject, o AS object FROM g
+ WHERE p = '{SUBCLASS}' AND s NOT IN (SELECT s FROM k)""")(_finding("undeclared_class"))
+query(f"""{TRIPLES_SQL} SELECT 'warning' AS severity, 'undeclared_property' AS rule, s AS subject, o AS object FROM g
+ WHERE p = '{DOMAIN}' AND s NOT IN (SELECT s FROM g WHERE p = '{TYPE}' AND o IN ('{OBJECT_PROPERTY}', '{DATATYPE_PROPERTY}', '{RDF}Property'))""")(_finding("undeclared_property"))
+query(f"""{TRIPLES_SQL}, {_DECLARED} SELECT 'warning' AS severity, 'undeclared_domain' AS rule, s AS subject, o AS object FROM g
+ WHERE p = '{DOMAIN}' AND o_kind = 'iri' AND o NOT IN (SELECT s FROM k)""")(_finding("undeclared_domain"))
 
 for _p, _bad in validation.FORBIDDEN.items():
     if _p in ("EL", "QL", "RL"):
@@ -447,7 +482,11 @@ def inconsistent_members(spark, d):
     return found.select("subject", "rule").distinct()
 
 
-@query(f"{TRIPLES_SQL}, {_DECLARED} SELECT severity, rule, count(*) AS n FROM (SELECT 'warning' AS severity, 'undeclared_class' AS rule FROM g WHERE p = '{SUBCLASS}' AND s NOT IN (SELECT s FROM k) UNION ALL SELECT 'warning', 'undeclared_property' FROM g WHERE p = '{DOMAIN}' AND s NOT IN (SELECT s FROM g WHERE p = '{TYPE}' AND o IN ('{OBJECT_PROPERTY}', '{DATATYPE_PROPERTY}')) UNION ALL SELECT 'warning', 'undeclared_domain' FROM g WHERE p = '{DOMAIN}' AND o_kind = 'iri' AND o NOT IN (SELECT s FROM k) UNION ALL SELECT 'error', 'profile_el' FROM g WHERE p IN ('{OWL}allValuesFrom', '{OWL}complementOf')) GROUP BY ALL")
+@query(f"""{TRIPLES_SQL}, {_DECLARED} SELECT severity, rule, count(*) AS n FROM (SELECT 'warning' AS severity, 'undeclared_class' AS rule FROM g
+ WHERE p = '{SUBCLASS}' AND s NOT IN (SELECT s FROM k) UNION ALL SELECT 'warning', 'undeclared_property' FROM g
+ WHERE p = '{DOMAIN}' AND s NOT IN (SELECT s FROM g WHERE p = '{TYPE}' AND o IN ('{OBJECT_PROPERTY}', '{DATATYPE_PROPERTY}'))
+ UNION ALL SELECT 'warning', 'undeclared_domain' FROM g WHERE p = '{DOMAIN}' AND o_kind = 'iri' AND o NOT IN (SELECT s FROM k)
+ UNION ALL SELECT 'error', 'profile_el' FROM g WHERE p IN ('{OWL}allValuesFrom', '{OWL}complementOf')) GROUP BY ALL""")
 def validation_summary(spark, d):
     return validation.validate(v.triples(spark, d), "EL").findings.groupBy("severity", "rule").agg(F.count("*").alias("n"))
 
@@ -469,17 +508,21 @@ def alignments_for_class(spark, d):
     return meta.alignments_for_class(spark, "Agent", "DOLCE").select("class_name", "target")
 
 
-@query(f"{_UP} SELECT k.c AS class_name, coalesce(string_agg(target, ',' ORDER BY target) FILTER (ontology = 'BFO'), '') AS bfo, coalesce(string_agg(target, ',' ORDER BY target) FILTER (ontology = 'DOLCE'), '') AS dolce FROM (VALUES {_CLASSES}) k(c) LEFT JOIN a ON a.class_name = k.c GROUP BY 1")
+@query(f"""{_UP} SELECT k.c AS class_name, coalesce(string_agg(target, ',' ORDER BY target) FILTER (ontology = 'BFO'), '') AS bfo, coalesce(string_agg(target, ',' ORDER BY target) FILTER (ontology = 'DOLCE'), '') AS dolce
+ FROM (VALUES {_CLASSES}) k(c) LEFT JOIN a ON a.class_name = k.c GROUP BY 1""")
 def alignment_summary(spark, d):
     return meta.alignment_summary(spark).select("class_name", F.array_join("BFO", ",").alias("bfo"), F.array_join("DOLCE", ",").alias("dolce"))
 
 
-@query(f"{_UP} SELECT '{META}' || class_name AS s, '{SKOS}' || alignment_type AS p, target AS o FROM a UNION ALL SELECT '{META}' || class_name || '_to_' || ontology || '_alignment', x.p, CASE x.i WHEN 1 THEN '{OWL}Axiom' WHEN 2 THEN '{META}' || class_name WHEN 3 THEN '{SKOS}' || alignment_type WHEN 4 THEN target ELSE class_name || ' is aligned to ' || ontology END FROM a, (VALUES (1, '{TYPE}'), (2, '{OWL}annotatedSource'), (3, '{OWL}annotatedProperty'), (4, '{OWL}annotatedTarget'), (5, '{COMMENT}')) x(i, p)")
+@query(f"""{_UP} SELECT '{META}' || class_name AS s, '{SKOS}' || alignment_type AS p, target AS o FROM a
+ UNION ALL SELECT '{META}' || class_name || '_to_' || ontology || '_alignment', x.p, CASE x.i WHEN 1 THEN '{OWL}Axiom' WHEN 2 THEN '{META}' || class_name WHEN 3 THEN '{SKOS}' || alignment_type WHEN 4 THEN target ELSE class_name || ' is aligned to ' || ontology END
+ FROM a, (VALUES (1, '{TYPE}'), (2, '{OWL}annotatedSource'), (3, '{OWL}annotatedProperty'), (4, '{OWL}annotatedTarget'), (5, '{COMMENT}')) x(i, p)""")
 def alignment_graph(spark, d):
     return meta.alignment_graph(spark).select("s", "p", "o")
 
 
-@query(f"{_UP} SELECT '{META}' || class_name AS s, '{SKOS}' || alignment_type AS p, target AS o FROM a WHERE ontology = 'BFO' UNION ALL SELECT '{META}' || class_name || '_to_BFO_alignment', '{OWL}annotatedTarget', target FROM a WHERE ontology = 'BFO'")
+@query(f"""{_UP} SELECT '{META}' || class_name AS s, '{SKOS}' || alignment_type AS p, target AS o FROM a WHERE ontology = 'BFO'
+ UNION ALL SELECT '{META}' || class_name || '_to_BFO_alignment', '{OWL}annotatedTarget', target FROM a WHERE ontology = 'BFO'""")
 def merged_upper_ontology(spark, d):
     return meta.merge_with_upper_ontology(meta.GenericOntology(spark).graph(), "BFO").where(F.col("o").contains("obolibrary.org")).select("s", "p", "o")
 
@@ -494,7 +537,9 @@ def generic_agent_properties(spark, d):
     return reasoning.applicable_properties(meta.GenericOntology(spark).graph()).where(F.col("cls") == f"{META}Agent").groupBy("kind").agg(F.count("*").alias("n"))
 
 
-@query(f"{TRIPLES_SQL}, {_UP} SELECT s, o AS description FROM (SELECT s, o FROM g WHERE p = '{LABEL}' UNION ALL SELECT '{META}' || c, t FROM (VALUES {', '.join(f"('{c}', '{t}')" for c, t, *_ in (*meta.GENERIC_CLASSES, *meta.GENERIC_OBJECT_PROPERTIES, *meta.GENERIC_DATATYPE_PROPERTIES))}) z(c, t) UNION ALL SELECT '{META[:-1]}', 'Core meta-ontology for federated semantic integration')")
+@query(f"""{TRIPLES_SQL}, {_UP} SELECT s, o AS description FROM (SELECT s, o FROM g WHERE p = '{LABEL}' UNION ALL SELECT '{META}' || c, t
+ FROM (VALUES {', '.join(f"('{c}', '{t}')" for c, t, *_ in (*meta.GENERIC_CLASSES, *meta.GENERIC_OBJECT_PROPERTIES, *meta.GENERIC_DATATYPE_PROPERTIES))}) z(c, t)
+ UNION ALL SELECT '{META[:-1]}', 'Core meta-ontology for federated semantic integration')""")
 def composite_descriptions(spark, d):
     class View(meta.Provider):
         name = "view"
@@ -531,13 +576,17 @@ def _labelled(spark: SparkSession, d: str, name: str, key: str, label: str, wher
 _NORM = "trim(regexp_replace(lower(regexp_replace({0}, '([a-z0-9])([A-Z])', '\\1 \\2', 'g')), '[^\\p{{L}}\\p{{N}}]+', ' ', 'g'))"
 
 
-@query(f"SELECT 'supplier:' || s_suppkey AS subject_id, 'customer:' || c_custkey AS object_id, 'skos:exactMatch' AS predicate_id, 1.0 AS confidence FROM supplier JOIN customer ON {_NORM.format("replace(s_name, 'Supplier', 'Customer')")} = {_NORM.format('c_name')}")
+@query(f"""SELECT 'supplier:' || s_suppkey AS subject_id, 'customer:' || c_custkey AS object_id, 'skos:exactMatch' AS predicate_id, 1.0 AS confidence
+ FROM supplier JOIN customer ON {_NORM.format("replace(s_name, 'Supplier', 'Customer')")} = {_NORM.format('c_name')}""")
 def match_lexical(spark, d):
     a = _labelled(spark, d, "supplier", "s_suppkey", "s_name").withColumn("o", F.replace("o", F.lit("Supplier"), F.lit("Customer")))
     return matching.LexicalExact().align(a, _labelled(spark, d, "customer", "c_custkey", "c_name")).select(*KEY, "confidence")
 
 
-_TOK = f"a AS (SELECT 'nation:' || n_nationkey AS id, string_split({_NORM.format('n_name')}, ' ') AS w FROM nation), b AS (SELECT 'customer:' || c_custkey AS id, string_split({_NORM.format("c_mktsegment || ' nation ' || c_nationkey")}, ' ') AS w FROM customer), j AS (SELECT a.id AS subject_id, b.id AS object_id, len(list_intersect(a.w, b.w)) / len(list_distinct(a.w || b.w)) AS s FROM a JOIN b ON len(list_intersect(a.w, b.w)) > 0)"
+_TOK = f"""a AS (SELECT 'nation:' || n_nationkey AS id, string_split({_NORM.format('n_name')}, ' ') AS w FROM nation),
+ b AS (SELECT 'customer:' || c_custkey AS id, string_split({_NORM.format("c_mktsegment || ' nation ' || c_nationkey")}, ' ') AS w FROM customer),
+ j AS (SELECT a.id AS subject_id, b.id AS object_id, len(list_intersect(a.w, b.w)) / len(list_distinct(a.w || b.w)) AS s FROM a
+ JOIN b ON len(list_intersect(a.w, b.w)) > 0)"""
 
 
 @query(f"{_TOK} SELECT subject_id, object_id, CASE WHEN s >= 1 THEN 'skos:exactMatch' ELSE 'skos:closeMatch' END AS predicate_id, round(s, 6) AS confidence FROM j WHERE s >= 0.5")
@@ -548,7 +597,11 @@ def match_tokens(spark, d):
     return matching.TokenJaccard().align(_labelled(spark, d, "nation", "n_nationkey", "n_name"), b).select(*KEY, F.round("confidence", 6).alias("confidence"))
 
 
-@query(f"a AS (SELECT 'nation:' || n_nationkey AS id, {_NORM.format('n_name')} AS x FROM nation), b AS (SELECT 'nation:' || n_nationkey AS id, {_NORM.format("n_name || 's'")} AS y FROM nation), j AS (SELECT a.id AS subject_id, b.id AS object_id, 1 - levenshtein(x, y) / greatest(length(x), length(y)) AS s FROM a, b) SELECT subject_id, object_id, CASE WHEN s >= 1 THEN 'skos:exactMatch' ELSE 'skos:closeMatch' END AS predicate_id, round(s, 6) AS confidence FROM j WHERE s >= 0.8")
+@query(f"""a AS (SELECT 'nation:' || n_nationkey AS id, {_NORM.format('n_name')} AS x FROM nation),
+ b AS (SELECT 'nation:' || n_nationkey AS id, {_NORM.format("n_name || 's'")} AS y FROM nation),
+ j AS (SELECT a.id AS subject_id, b.id AS object_id, 1 - levenshtein(x, y) / greatest(length(x), length(y)) AS s
+ FROM a, b) SELECT subject_id, object_id, CASE WHEN s >= 1 THEN 'skos:exactMatch' ELSE 'skos:closeMatch' END AS predicate_id, round(s, 6) AS confidence
+ FROM j WHERE s >= 0.8""")
 def match_edit_distance(spark, d):
     b = _labelled(spark, d, "nation", "n_nationkey", "n_name").withColumn("o", F.when(F.col("p") == LABEL, F.concat("o", F.lit("s"))).otherwise(F.col("o")))
     return matching.EditDistance().align(_labelled(spark, d, "nation", "n_nationkey", "n_name"), b).select(*KEY, F.round("confidence", 6).alias("confidence"))
@@ -568,13 +621,16 @@ def _names(spark: SparkSession, d: str) -> DataFrame:
 _UN = "regexp_replace(string_split(" + _BARE.format("name") + ", ':')[-1], '[-\\s./\\\\()\\[\\]{}<>&@#%?=]', '_', 'g')"
 
 
-@query(f"n AS (SELECT p_partkey, {_P} AS name FROM part), u AS (SELECT p_partkey, {_UN} AS x FROM n) SELECT p_partkey, {_SAN.format('x')} AS safe, 'http://e/' || {_SAN.format('x')} AS iri FROM u")
+@query(f"""n AS (SELECT p_partkey, {_P} AS name FROM part), u AS (SELECT p_partkey, {_UN} AS x
+ FROM n) SELECT p_partkey, {_SAN.format('x')} AS safe, 'http://e/' || {_SAN.format('x')} AS iri FROM u""")
 def sanitized_names(spark, d):
     n = _names(spark, d)
     return n.select("p_partkey", fn.sanitize_name(F.col("name")).alias("safe"), fn.create_iri("http://e/", F.col("name")).alias("iri"))
 
 
-@query(f"n AS (SELECT p_partkey, {_P} AS name FROM part), l AS (SELECT *, {_BARE.format('name')} AS local_name FROM n) SELECT p_partkey, local_name, regexp_replace(local_name, '[^A-Za-z0-9._\\-]', '_', 'g') AS safe, 'http://n#' || regexp_replace(local_name, '[^A-Za-z0-9._\\-]', '_', 'g') AS iri, 'http://b/' || regexp_replace(local_name, '[^A-Za-z0-9._\\-]', '_', 'g') AS base_iri FROM l")
+@query(f"""n AS (SELECT p_partkey, {_P} AS name FROM part), l AS (SELECT *, {_BARE.format('name')} AS local_name
+ FROM n) SELECT p_partkey, local_name, regexp_replace(local_name, '[^A-Za-z0-9._\\-]', '_', 'g') AS safe, 'http://n#' || regexp_replace(local_name, '[^A-Za-z0-9._\\-]', '_', 'g') AS iri, 'http://b/' || regexp_replace(local_name, '[^A-Za-z0-9._\\-]', '_', 'g') AS base_iri
+ FROM l""")
 def local_names(spark, d):
     n = _names(spark, d)
     name = F.col("name")
@@ -588,7 +644,8 @@ def _type_case(table: dict[str, str], x: str) -> str:
     return f"'{XSD}' || CASE {x} " + " ".join(f"WHEN '{k}' THEN '{t}'" for k, t in table.items()) + " ELSE 'string' END"
 
 
-@query(f"t(name) AS (VALUES {', '.join(f"('{x}')" for x in _TYPE_NAMES)}) SELECT name, {_type_case(fn.GENERIC_TYPES, 'lower(name)')} AS generic, {_type_case(fn.CSV_TYPES, 'lower(name)')} AS csv, {_type_case(fn.JSON_TYPES, 'name')} AS json, '{XSD}' || CASE WHEN regexp_matches(lower(name), 'int|long|short|byte') THEN 'integer' WHEN regexp_matches(lower(name), 'decimal|float|double|number') THEN 'decimal' WHEN lower(name) = 'datetime' THEN 'dateTime' WHEN lower(name) = 'date' THEN 'date' WHEN contains(lower(name), 'time') THEN 'time' WHEN contains(lower(name), 'bool') THEN 'boolean' WHEN contains(lower(name), 'uri') THEN 'anyURI' ELSE 'string' END AS simple FROM t")
+@query(f"""t(name) AS (VALUES {', '.join(f"('{x}')" for x in _TYPE_NAMES)}) SELECT name, {_type_case(fn.GENERIC_TYPES, 'lower(name)')} AS generic, {_type_case(fn.CSV_TYPES, 'lower(name)')} AS csv, {_type_case(fn.JSON_TYPES, 'name')} AS json, '{XSD}' || CASE WHEN regexp_matches(lower(name), 'int|long|short|byte') THEN 'integer' WHEN regexp_matches(lower(name), 'decimal|float|double|number') THEN 'decimal' WHEN lower(name) = 'datetime' THEN 'dateTime' WHEN lower(name) = 'date' THEN 'date' WHEN contains(lower(name), 'time') THEN 'time' WHEN contains(lower(name), 'bool') THEN 'boolean' WHEN contains(lower(name), 'uri') THEN 'anyURI' ELSE 'string' END AS simple
+ FROM t""")
 def type_maps(spark, d):
     n = spark.createDataFrame([(x,) for x in _TYPE_NAMES], "name string")
     c = F.col("name")
@@ -626,12 +683,16 @@ def ntriples_lines(spark, d):
     return rdf.nt_lines(v.triples(spark, d))
 
 
-@query(f"{FUSED} SELECT subject_id, predicate_id, object_id, round(consensus, 6) AS confidence, 'ensemble-fusion' AS mapping_tool, 'Support: ' || support_count || ' matchers: ' || array_to_string(ms, ', ') AS comment FROM fused")
+@query(f"""{FUSED} SELECT subject_id, predicate_id, object_id, round(consensus, 6) AS confidence, 'ensemble-fusion' AS mapping_tool, 'Support: ' || support_count || ' matchers: ' || array_to_string(ms, ', ') AS comment
+ FROM fused""")
 def sssom_export(spark, d):
     return sssom.export_rows(_fused(spark, d)).select("subject_id", "predicate_id", "object_id", F.round("confidence", 6).alias("confidence"), "mapping_tool", "comment")
 
 
-@query(f"{FUSED}, {_FLAG}, r AS (SELECT *, row_number() OVER (PARTITION BY subject_id ORDER BY consensus DESC, ord, object_id, predicate_id) AS rn FROM flag WHERE support_count >= 2), f2 AS (SELECT *, min(object_id) OVER (PARTITION BY subject_id) <> max(object_id) OVER (PARTITION BY subject_id) AS c2 FROM r) SELECT predicate_id, count(*) AS n, count(DISTINCT subject_id) AS subjects, round(sum(consensus) / count(*), 6) AS mean FROM f2 WHERE NOT c2 OR rn = 1 GROUP BY 1")
+@query(f"""{FUSED}, {_FLAG}, r AS (SELECT *, row_number() OVER (PARTITION BY subject_id ORDER BY consensus DESC, ord, object_id, predicate_id) AS rn FROM flag
+ WHERE support_count >= 2), f2 AS (SELECT *, min(object_id) OVER (PARTITION BY subject_id) <> max(object_id) OVER (PARTITION BY subject_id) AS c2
+ FROM r) SELECT predicate_id, count(*) AS n, count(DISTINCT subject_id) AS subjects, round(sum(consensus) / count(*), 6) AS mean FROM f2
+ WHERE NOT c2 OR rn = 1 GROUP BY 1""")
 def flagship(spark, d):
     """Fuse, vote, resolve, summarise."""
     accepted = voting.vote(_fused(spark, d)).accepted

@@ -461,12 +461,12 @@ def staged_run(spark, d):
     with warnings.catch_warnings():
         warnings.simplefilter("ignore")
         out = pipeline.orchestrate(spark, path, work)
-        state = pipeline.State.load(f"{work}/state.json")
+        state = pipeline.State.load(spark, f"{work}/state.json")
         rows = [(k, ",".join(x)) for k, x in state.done.items()] + [("status", state.status), ("errors", ",".join(f"{e['type']} {e['source']}" for e in out.errors))]
         state.status = "failed"
         state.save()
         again = pipeline.orchestrate(spark, path, work, resume=True)
-        rows.append(("resumed", str(pipeline.State.load(f"{work}/state.json").done == state.done and again.merged == out.merged).lower()))
+        rows.append(("resumed", str(pipeline.State.load(spark, f"{work}/state.json").done == state.done and again.merged == out.merged).lower()))
         turtle = rdf.parse_contents(spark.read.format("binaryFile").load(f"file:{out.merged_turtle}"))
         rows.append(("turtle", str(turtle.count() == spark.read.parquet(out.merged).count()).lower()))
     return spark.createDataFrame(rows, "stage string, items string")

@@ -92,6 +92,7 @@ class PipelineOptions(_Part):
     checkpoint_enabled: bool = True
     fail_fast: bool = False
     cleanup_on_success: bool = False
+    single_files: bool = True
 
 
 class Manifest(_Part):

@@ -6,7 +6,6 @@ import argparse
 import hashlib
 import json
 import os
-import shutil
 import time
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
@@ -15,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from meshwright.operators import conflicts, fusion, matching, quality, triples, validation, voting
 from meshwright.plans import manifest as manifests
+from meshwright.plans import storage
 from meshwright.plans.errors import AlignError, CheckpointError, ConvertError, FetchError, PlanError, PreflightError
 from meshwright.sources import meta, rdf, schemas, sssom
 
@@ -23,6 +23,7 @@ from meshwright.sources import meta, rdf, schemas, sssom
 class State:
     """What a run has done, as JSON in the work folder."""
 
+    spark: SparkSession
     path: str
     manifest: str = ""
     status: str = "running"
@@ -37,19 +38,14 @@ class State:
         return item in self.done.get(stage, [])
 
     def save(self) -> None:
-        os.makedirs(os.path.dirname(self.path), exist_ok=True)
-        with open(f"{self.path}.new", "w", encoding="utf-8") as f:
-            json.dump({k: v for k, v in vars(self).items() if k != "path"}, f, indent=1)
-        os.replace(f"{self.path}.new", self.path)
+        storage.write(self.spark, self.path, json.dumps({k: v for k, v in vars(self).items() if k not in ("spark", "path")}, indent=1))
 
     @classmethod
-    def load(cls, path: str) -> State | None:
+    def load(cls, spark: SparkSession, path: str) -> State | None:
         try:
-            with open(path, encoding="utf-8") as f:
-                return cls(path, **json.load(f))
-        except FileNotFoundError:
-            return None
-        except (OSError, ValueError, TypeError) as e:
+            text = storage.read(spark, path)
+            return None if text is None else cls(spark, path, **json.loads(text))
+        except (ValueError, TypeError) as e:
             raise CheckpointError(f"can't read {path}: {e}", "resume") from e
 
     def resumable(self, manifest: str) -> bool:
@@ -122,17 +118,17 @@ def retried(run, retries: int, delay: float):
 
 def orchestrate(spark: SparkSession, manifest_path: str, workdir: str, resume: bool = False, validate: bool = False) -> Artifacts:
     m = manifests.load(manifest_path)
-    preflight(manifest_path, workdir, strict=False)
     digest = hashlib.sha256(m.model_dump_json().encode()).hexdigest()
-    state = State.load(os.path.join(workdir, "state.json")) if resume else None
+    at = lambda *parts: "/".join([workdir.rstrip("/"), *parts])
+    state = State.load(spark, at("state.json")) if resume else None
     if state is None or not state.resumable(digest):
-        state = State(os.path.join(workdir, "state.json"), digest)
+        state = State(spark, at("state.json"), digest)
     state.status, out = "running", Artifacts()
-    at = lambda *parts: os.path.join(workdir, *parts)
+    single = m.pipeline.single_files  # files for readers that can't take parts; they are streamed through the driver
     keep = m.pipeline.checkpoint_enabled
 
     def table(stage: str, item: str, path: str, make) -> DataFrame:
-        if not (keep and state.has(stage, item) and os.path.exists(os.path.join(path, "_SUCCESS"))):
+        if not (keep and state.has(stage, item) and storage.exists(spark, f"{path}/_SUCCESS")):
             make().write.mode("overwrite").parquet(path)
             state.mark(stage, item)
         return spark.read.parquet(path)
@@ -142,7 +138,7 @@ def orchestrate(spark: SparkSession, manifest_path: str, workdir: str, resume: b
         label = provider.name.lower().replace(" ", "-")
         out.meta = at("meta", f"{label}.parquet")
         meta_graph = table("meta", "all", out.meta, provider.graph)
-        rdf.serialize(meta_graph, at("meta", f"{label}-meta-ontology.ttl"), "turtle")
+        storage.write(spark, at("meta", f"{label}-meta-ontology.ttl"), rdf.render(meta_graph, "turtle"))
         matchers, _ = matching.selected(m.matcher_names())
 
         def failed(e: Exception, stage: str, kind: type[PlanError], source: str) -> None:
@@ -173,7 +169,7 @@ def orchestrate(spark: SparkSession, manifest_path: str, workdir: str, resume: b
         graphs, mapped = [], []
         for s, g in [r for r in ready if r]:
             out.converted[s.id] = at("converted", s.id, "triples.parquet")
-            rdf.serialize(g, at("converted", s.id, f"{s.id}.owl"), "xml")
+            storage.write(spark, at("converted", s.id, f"{s.id}.owl"), rdf.render(g, "xml"))
             graphs.append(g)
             path = at("mappings", f"{s.id}.parquet")
 
@@ -196,18 +192,19 @@ def orchestrate(spark: SparkSession, manifest_path: str, workdir: str, resume: b
         accepted = voting.vote(fused, voting.VotingConfig(strategy=m.alignment.voting), len(matchers)).accepted
         table("resolve", "all", out.resolved, lambda: conflicts.resolve(accepted, m.alignment.resolution).drop("conflict"))
         merged = table("merge", "all", out.merged, lambda: triples.union(*graphs, meta_graph))
-        out.merged_turtle = rdf.serialize(merged, at(f"merged-{label}.ttl"), "turtle")
-        sssom.export(spark.read.parquet(out.resolved), at("mappings.sssom.tsv"))
-        out.report = at("quality.txt")
-        with open(out.report, "w", encoding="utf-8") as f:
-            f.write(quality.quality_report(fused, m.alignment.resolution))
+        rdf.write_ntriples(merged, at("merged.nt"))
+        sssom.write_table(spark.read.parquet(out.resolved), at("mappings.sssom"))
+        if single:
+            out.merged_turtle = storage.write(spark, at(f"merged-{label}.ttl"), rdf.render(merged, "turtle"))
+            storage.write(spark, at("mappings.sssom.tsv"), sssom.exported(spark.read.parquet(out.resolved)))
+        out.report = storage.write(spark, at("quality.txt"), quality.quality_report(fused, m.alignment.resolution))
         if validate:
             found = validation.validate(merged)
             found.findings.write.mode("overwrite").parquet(at("findings.parquet"))
         state.status = "completed"
         state.save()
         if m.pipeline.cleanup_on_success:
-            shutil.rmtree(at("converted"), ignore_errors=True)
+            storage.remove(spark, at("converted"))
         return out
     except PlanError:
         state.status = "failed"

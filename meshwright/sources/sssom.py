@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+from collections.abc import Iterator
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -72,17 +73,22 @@ def write_table(fused: DataFrame, path: str, tool: str = "ensemble-fusion") -> N
     export_rows(fused, tool).write.mode("overwrite").csv(path, sep="\t", header=True)
 
 
-def export(fused: DataFrame, path: str, include_metadata: bool = True, tool: str = "ensemble-fusion") -> str:
-    """One TSV file in input order, streamed through the driver a partition at a time."""
-    os.makedirs(os.path.dirname(os.path.abspath(path)), exist_ok=True)
+def exported(fused: DataFrame, include_metadata: bool = True, tool: str = "ensemble-fusion") -> Iterator[str]:
+    """The lines of one TSV file in input order, a partition at a time."""
     rows = export_rows(fused.orderBy("ord"), tool) if "ord" in fused.columns else export_rows(fused, tool)
     clean = lambda v: "" if v is None else str(v).replace("\t", " ").replace("\n", " ")
+    if include_metadata:
+        yield f"{HEADER[0]}\n# Total mappings: {fused.count()}\n{HEADER[1]}\n{HEADER[2]}\n"
+    yield "\t".join(rows.columns) + "\n"
+    for r in rows.toLocalIterator():
+        yield "\t".join(map(clean, r)) + "\n"
+
+
+def export(fused: DataFrame, path: str, include_metadata: bool = True, tool: str = "ensemble-fusion") -> str:
+    """One TSV file on the driver's disk; ``write_table`` writes parts in parallel."""
+    os.makedirs(os.path.dirname(os.path.abspath(path)), exist_ok=True)
     with open(path, "w", encoding="utf-8") as f:
-        if include_metadata:
-            f.write(f"{HEADER[0]}\n# Total mappings: {fused.count()}\n{HEADER[1]}\n{HEADER[2]}\n")
-        f.write("\t".join(rows.columns) + "\n")
-        for r in rows.toLocalIterator():
-            f.write("\t".join(map(clean, r)) + "\n")
+        f.writelines(exported(fused, include_metadata, tool))
     return path
 
 
