@@ -166,7 +166,7 @@ def score(docs: DataFrame, model: FactorisationMachine, threshold: float = THRES
     """One row per document: doc_id, held_out, score, predicted.
 
     Null text counts as empty, null n_chars as unknown; a null id has held_out null; repeated rows are scored as
-    often as they occur; an empty table gives no rows; other columns are ignored. Without labels every score is that of the prior.
+    often as they occur; a very long text is read whole, and has no more features than BUCKETS and STATS; an empty table gives no rows; other columns are ignored. Without labels every score is that of the prior.
     """
     got = inputs(docs).select("doc_id", scorer(model)("text", "n_chars").alias("score"))
     return got.select("doc_id", (held_out_fold("doc_id", FOLDS) == HELD_OUT).alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
