@@ -16,7 +16,7 @@ def fold(batch: DataFrame, buckets: int) -> DataFrame:
     return batch.withColumn("bucket", F.pmod(F.xxhash64(*KEY), F.lit(buckets)).cast("int"))
 
 
-def start(spark: SparkSession, source: str, folder: str, checkpoint: str, buckets: int = 64, min_confidence: float = 0.0, available_now: bool = True) -> StreamingQuery:
+def start(spark: SparkSession, source: str, folder: str, checkpoint: str, buckets: int = 64, min_confidence: float = 0.0, available_now: bool = True, files_per_batch: int | None = None) -> StreamingQuery:
     """Merge each micro-batch into ``folder/partials`` (one row per key and matcher, not the history) and rewrite only the buckets of ``folder/fused`` that it touches.
 
     The merge takes a batch that is repeated after a failure as one, so the result doesn't depend on restarts. Choose ``buckets`` so that a bucket's partial rows are a few files.
@@ -42,7 +42,8 @@ def start(spark: SparkSession, source: str, folder: str, checkpoint: str, bucket
             merged.unpersist()
         rows.unpersist()
 
-    stream = spark.readStream.schema(MAPPINGS).parquet(source)
+    reader = spark.readStream.schema(MAPPINGS)
+    stream = (reader.option("maxFilesPerTrigger", files_per_batch) if files_per_batch else reader).parquet(source)
     writer = stream.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint)
     return (writer.trigger(availableNow=True) if available_now else writer).start()
 
