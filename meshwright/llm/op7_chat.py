@@ -4,8 +4,9 @@ Quoted lines start with one or more ``>``; a passage is a run of lines of one de
 is hashed in normal form (markers off, white space collapsed, lower case) and joined to the messages that wrote it in their own text.
 
 Candidates of a passage are the earliest message that wrote the whole passage as one, and the earliest writer of each of its lines; a line that at
-most RARE messages wrote names them all, so the number of candidates doesn't grow with the square of a common line's
-messages. Each candidate is then verified on all lines: it must hold more than half of the passage's weight, in which a line counts the
+most RARE messages wrote names them all. Where commoner lines hold most of a passage's weight, messages that wrote several of them are compared
+by classes: those that wrote the same ones count once, with their earliest message (``classed``). So no source is missed, and the number of candidates
+doesn't grow with the square of a common line's messages. Each candidate is then verified on all lines: it must hold more than half of the passage's weight, in which a line counts the
 less the more messages wrote it. The best is an earlier message of the same conversation, then one that holds the whole passage, then the most weight, then the earliest.
 
 Messages come out without quotes, each with the message it replies to, and in reply order: a reply that quotes goes to the thread of the
@@ -14,16 +15,18 @@ earliest message that is reached by following quotes, also in another conversati
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from meshwright.llm.common import let, table, written
 
-#: A line that more messages of a conversation (or of all) wrote names only the earliest of them.
+#: A line that more messages of a conversation (or of all) wrote names the earliest of them, and others only by their classes.
 RARE = 32
 #: A quoted mark may be followed by one blank that isn't the line's. One class of characters, so that no run of marks nests the matcher.
 _MARK = r"^[ \t>]*>[ \t]?"
 _KEY = "conv_id", "turn", "part", "depth"
+#: Weights are summed in different orders.
+SLACK = 1e-8
 
 
 def attribution(line: Column) -> Column:
@@ -85,6 +88,64 @@ def hashed(parsed: DataFrame) -> DataFrame:
     return parsed.where("conv_id is not null and turn is not null").select("conv_id", "turn", own.alias("own"), quotes.alias("quotes"))
 
 
+def classed(asked: DataFrame, wrote: DataFrame, scope: list[str]) -> DataFrame:
+    """scope, lines, own, w: classes of passages and of messages that share more than half the weight of ``asked(*scope, lines, half)``.
+
+    ``lines`` holds (total, h, w) of a passage's common lines, rarest first; ``wrote(*scope, own)`` is what messages wrote of such lines. A message that holds none of
+    the rarest lines up to where the others weigh half can't hold more than half, so classes meet only by these.
+    """
+    spare = F.aggregate("lines", F.lit(0.0), lambda a, x: a + x["w"])
+    rarest = F.aggregate("lines", F.struct(spare.alias("rest"), F.lit(0).alias("k")), lambda a, x: F.when(a["rest"] > F.col("half") - SLACK, F.struct((a["rest"] - x["w"]).alias("rest"), (a["k"] + 1).alias("k"))).otherwise(a))["k"]
+    asked = asked.groupBy(*scope, "lines").agg(F.min("half").alias("half"))
+    asked = asked.withColumn("keys", F.array_distinct(F.transform(F.slice("lines", F.lit(1), rarest), lambda x: x["h"])))
+    met = asked.withColumn("h", F.explode("keys")).join(wrote.select(*scope, "own").distinct().withColumn("h", F.explode("own")), [*scope, "h"])
+    met = met.where(F.col("h") == F.get(F.filter("keys", lambda x: F.array_contains("own", x)), F.lit(0)))  # two classes meet once
+    met = met.withColumn("w", F.round(F.aggregate(F.filter("lines", lambda x: F.array_contains("own", x["h"])), F.lit(0.0), lambda a, x: a + x["w"]), 9))
+    return met.where(F.col("w") > F.col("half") - SLACK).select(*scope, "lines", "own", "w")
+
+
+def common_sources(asked: DataFrame, wrote: DataFrame, rare: int = RARE) -> DataFrame:
+    """_KEY, to_conv, to_turn: the best messages among those that hold most of a passage's weight in lines that more than ``rare`` messages wrote.
+
+    ``asked`` has each passage's lines with their writers in its conversation (n) and in all (total); ``wrote(conv_id, turn, h)`` is what messages wrote of them.
+    A message that wrote only one such line is no better than that line's earliest writer, so classes have at least two.
+    """
+    of = lambda often: (F.array_sort(F.collect_list(F.when(F.expr(often), F.struct("total", "h", "w")))), F.sum(F.when(F.expr(often), F.col("w")).otherwise(0.0)))
+    (near, near_w), (far, far_w) = of(f"n > {rare}"), of(f"total > {rare}")
+    some = asked.where(f"not whole and total > {rare}").select(*_KEY).distinct()
+    each = asked.where("not whole").join(some, [*_KEY], "left_semi").groupBy(*_KEY).agg((F.sum("w") / 2).alias("half"), near.alias("near"), near_w.alias("near_w"), far.alias("far"), far_w.alias("far_w"))
+    each = each.select(*_KEY, "half", *(F.when((F.size(c) > 1) & (F.col(f"{c}_w") > F.col("half") - SLACK), F.col(c)).alias(c) for c in ("near", "far")))
+    each = written(each.where("near is not null or far is not null"), "common")
+    out = each.select(*_KEY, F.col("conv_id").alias("to_conv"), F.col("turn").alias("to_turn")).limit(0)
+    if each.isEmpty():
+        return out
+
+    def messages_of(asked: DataFrame, scope: list[str]) -> DataFrame:  # what each message wrote of the lines asked, two at least
+        wanted = asked.select(*scope, F.explode(F.transform("lines", lambda x: x["h"])).alias("h")).distinct()
+        return wrote.join(wanted, [*scope, "h"], "left_semi").groupBy("conv_id", "turn").agg(F.array_sort(F.collect_list("h")).alias("own")).where(F.size("own") > 1)
+
+    # in the conversation: the earliest message of a class, and only if it holds more than any before it
+    here = each.where("near is not null").withColumnRenamed("near", "lines").select(*_KEY, "half", "lines")
+    firsts = written(messages_of(here, ["conv_id"]).groupBy("conv_id", "own").agg(F.min("turn").alias("first")), "near")
+    found = classed(here, firsts, ["conv_id"]).join(firsts, ["conv_id", "own"])
+    before = F.max("w").over(Window.partitionBy("conv_id", "lines").orderBy("first").rowsBetween(Window.unboundedPreceding, -1))
+    found = found.withColumn("before", before).where("before is null or w > before").select("conv_id", "lines", "first")
+    out = here.join(found, ["conv_id", "lines"]).where("first < turn").select(*_KEY, F.col("conv_id").alias("to_conv"), F.col("first").alias("to_turn"))
+
+    # in others: the earliest message of the class that holds most, and the best of any other conversation than that one's
+    there = each.where("far is not null").withColumnRenamed("far", "lines").select(*_KEY, "half", "lines")
+    firsts = written(messages_of(there, []).groupBy("own", "conv_id").agg(F.min("turn").alias("turn")), "far")
+    first = written(firsts.groupBy("own").agg(F.min(F.struct("conv_id", "turn")).alias("f")), "far")
+    second = firsts.join(first, "own").where("conv_id <> f.conv_id").groupBy("own").agg(F.min(F.struct("conv_id", "turn")).alias("f"))
+    found = classed(there, first, []).join(first.unionByName(second), "own")
+    found = written(found.select("lines", F.struct("w", (-F.col("f.conv_id")).alias("c"), (-F.col("f.turn")).alias("t")).alias("x")), "far")
+    best = written(found.groupBy("lines").agg(F.max("x").alias("one")), "far")
+    best = best.join(found.join(best, "lines").where("x.c <> one.c").groupBy("lines").agg(F.max("x").alias("two")), "lines", "left")
+    x = F.when(F.col("one.c") != -F.col("conv_id"), F.col("one")).otherwise(F.col("two"))
+    far = there.join(best, "lines").select(*_KEY, x.alias("x")).where("x is not null")
+    return out.unionByName(far.select(*_KEY, (-F.col("x.c")).alias("to_conv"), (-F.col("x.t")).alias("to_turn")))
+
+
 def link(parsed: DataFrame, rare: int = RARE) -> DataFrame:
     """conv_id, turn, part, depth, to_conv, to_turn: the message that each quoted passage comes from (absent if none)."""
     known = written(hashed(parsed), "quotes")
@@ -108,6 +169,7 @@ def link(parsed: DataFrame, rare: int = RARE) -> DataFrame:
     few = f"total > 1 and total <= {rare}"
     far = wrote.join(everywhere.where(few).select("h"), "h").select("h", F.col("conv_id").alias("to_conv"), F.col("turn").alias("to_turn"))
     candidates = candidates.unionByName(asked.where(few).select(*_KEY, "h").join(far, "h").where("to_conv <> conv_id").select(*_KEY, "to_conv", "to_turn"))
+    candidates = candidates.unionByName(common_sources(asked, wrote, rare))
     # verification of each candidate on all lines of its passage
     hit = candidates.distinct().join(asked.select(*_KEY, "whole", "h", "w"), [*_KEY])
     held = wrote.select(F.col("conv_id").alias("to_conv"), F.col("turn").alias("to_turn"), "h")
