@@ -7,7 +7,7 @@ from the shards, so their scores agree and the merge of their best rows is exact
 Within a shard, documents form ranges of BLOCK consecutive ones, and each posting list knows its maximum by range. A query of few terms is searched by
 block-max WAND: cursors on its posting lists, the pivot where the lists' bounds add up to the k-th best score known, a check of the pivot range's maxima,
 and skips. For a query of many terms (a whole document) cursors cost far more than they save, so its ranges are the pivots: bounds of all ranges and queries are
-matrix products, and ranges are scored in order of their bounds until none reaches the k-th best score. A task carries its best rows from shard to shard and gives them out once.
+matrix products of frequent terms, on top of the rare terms' exact sums, and ranges are scored in order of their bounds until none reaches the k-th best score. A task carries its best rows from shard to shard and gives them out once.
 
 Terms are told apart by 63 bits of a hash.
 """
@@ -20,6 +20,7 @@ from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
 from heapq import heappop, heappush
+from operator import itemgetter
 
 import numpy as np
 import pandas as pd
@@ -34,12 +35,16 @@ BLOCK = 64
 DENSE, FEW = 16, 8
 #: Queries of at most so many terms go by cursors.
 SHORT = 12
+#: Queries whose scores of a shard are held at once.
+AT_ONCE = 64
+#: Postings of a shard that are kept as lists between queries.
+LISTED = 250_000
 #: Bounds and scores are summed in different orders.
 SLACK = 1e-7
 #: A shard is closed at so many documents or postings.
 SHARD_DOCS, SHARD_POSTINGS = 4096, 1_000_000
 #: Queries and terms of theirs that are searched at once, on average: what a pass collects and broadcasts is bounded (16 bytes a term).
-QUERY_BLOCK, QUERY_TERMS = 1024, 1_000_000
+QUERY_BLOCK, QUERY_TERMS = 4096, 1_000_000
 _INDEX = "n_docs long, total long, ids binary, lengths binary, terms binary, first binary, doc binary, tf binary"
 
 
@@ -100,7 +105,7 @@ class Shard:
     """An index shard opened for a block of queries over the sorted terms ``asked``.
 
     Terms in at least one of DENSE documents are kept as columns of gains, so that their bounds of all queries are one
-    matrix product and their scores in a range another; the postings of the others stay sparse.
+    matrix product and their scores in a range another; the postings of the others stay sparse, and are summed for AT_ONCE queries in one go.
     """
 
     def __init__(self, row, mean_length: float, asked: np.ndarray):
@@ -131,57 +136,74 @@ class Shard:
         self.dense_slot, self.slot = np.full(len(asked), -1, np.int64), np.full(len(asked), -1, np.int64)  # of a term among either kind
         self.dense_slot[self.dense] = np.arange(len(self.dense))
         self.slot[here[~often]] = np.arange(len(n))
+        self.slot_first = np.concatenate([[0], np.cumsum(n)])
+        self.listed: dict[int, tuple] = {}  # posting lists by term, and their postings
+        self.held = 0
         self.slot_run = np.searchsorted(run[self.run_first], np.arange(len(n) + 1) * np.int64(max(1, self.ranges)))
 
     def lists(self, terms: np.ndarray) -> list[tuple[list[int], list[float], list[int], list[float]]]:
-        """Posting list of each asked term that occurs here: documents, gains, ranges and their maxima."""
-        out = []
+        """Posting list of each asked term that occurs here: documents and the end of all, gains, ranges and their maxima."""
+        out, end = [], [self.ranges * BLOCK]
         for t in terms.tolist():
+            if t in self.listed:
+                out.append(self.listed[t])
+                continue
             if (c := self.dense_slot[t]) >= 0:
                 doc = np.flatnonzero(self.column[:, c])
                 ranges = np.flatnonzero(self.column_max[:, c])
-                out.append((doc.tolist(), self.column[doc, c].tolist(), ranges.tolist(), self.column_max[ranges, c].tolist()))
+                out.append((doc.tolist() + end, self.column[doc, c].tolist(), ranges.tolist(), self.column_max[ranges, c].tolist()))
             elif (c := self.slot[t]) >= 0:
                 a, b = self.slot_run[c], self.slot_run[c + 1]
                 post = slice(self.run_first[a], self.run_end[b - 1])
-                out.append((self.doc[post].tolist(), self.gain[post].tolist(), self.run_range[a:b].tolist(), self.run_max[a:b].tolist()))
+                out.append((self.doc[post].tolist() + end, self.gain[post].tolist(), self.run_range[a:b].tolist(), self.run_max[a:b].tolist()))
             else:
-                out.append(([], [], [], []))
+                out.append((end, [], [], []))
+            self.held += len(out[-1][0])
+            if self.held > LISTED:
+                self.listed, self.held = {}, len(out[-1][0])
+            self.listed[t] = out[-1]
         return out
 
     def wand(self, terms: np.ndarray, weights: np.ndarray, floor: float, top: int, seen: list | None = None) -> tuple[np.ndarray, np.ndarray]:
         """(ids, scores) of a query's best documents with a positive score that reaches ``floor``, by block-max WAND. ``seen`` gets the documents scored."""
-        cursors = [[0, w, w * max(gains), docs, gains, ranges, maxima] for (docs, gains, ranges, maxima), w in zip(self.lists(terms), weights.tolist()) if docs and w > 0]
+        # a cursor: its document, position, weight, bound, and the list; the list's end stands after all documents
+        cursors = [[docs[0], 0, w, w * max(maxima), docs, gains, ranges, maxima] for (docs, gains, ranges, maxima), w in zip(self.lists(terms), weights.tolist()) if gains and w > 0]
         end, heap = self.ranges * BLOCK, []  # (score, -id): the worst of the best first
-        at = lambda c: c[3][c[0]] if c[0] < len(c[3]) else end
 
         def bound(c: list, r: int) -> float:  # of the list's postings in a range
-            k = bisect_left(c[5], r)
-            return c[1] * c[6][k] if k < len(c[5]) and c[5][k] == r else 0.0
+            k = bisect_left(c[6], r)
+            return c[2] * c[7][k] if k < len(c[6]) and c[6][k] == r else 0.0
+
+        def move(c: list, to: int) -> None:
+            c[1] = bisect_left(c[4], to, c[1])
+            c[0] = c[4][c[1]]
 
         while True:
-            cursors = sorted((c for c in cursors if c[0] < len(c[3])), key=at)
+            cursors.sort(key=itemgetter(0))
+            while cursors and cursors[-1][0] >= end:
+                cursors.pop()
             total, pivot = 0.0, None
             for pivot, c in enumerate(cursors):
-                total += c[2]
+                total += c[3]
                 if total >= floor - SLACK:
                     break
             else:
                 break
-            doc = at(cursors[pivot])
-            while pivot + 1 < len(cursors) and at(cursors[pivot + 1]) == doc:
+            doc = cursors[pivot][0]
+            while pivot + 1 < len(cursors) and cursors[pivot + 1][0] == doc:
                 pivot += 1
             here = cursors[: pivot + 1]
             if sum(bound(c, doc // BLOCK) for c in here) >= floor - SLACK:
-                if at(here[0]) < doc:  # cursors before the pivot catch up
+                if here[0][0] < doc:  # cursors before the pivot catch up
                     for c in here:
-                        c[0] = bisect_left(c[3], doc, c[0])
+                        move(c, doc)
                     continue
-                score = sum(c[1] * c[4][c[0]] for c in here)
+                score = sum(c[2] * c[5][c[1]] for c in here)
                 if seen is not None:
                     seen.append(doc)
                 for c in here:
-                    c[0] += 1
+                    c[1] += 1
+                    c[0] = c[4][c[1]]
                 if score > 0 and score >= floor - SLACK:
                     heappush(heap, (score, -int(self.ids[doc])))
                     if len(heap) > top:
@@ -191,9 +213,9 @@ class Shard:
             else:  # nothing in this range: skip to the next one, or to the next list's document
                 to = (doc // BLOCK + 1) * BLOCK
                 if pivot + 1 < len(cursors):
-                    to = min(to, at(cursors[pivot + 1]))
+                    to = min(to, cursors[pivot + 1][0])
                 for c in here:
-                    c[0] = bisect_left(c[3], to, c[0])
+                    move(c, to)
         heap.sort(key=lambda x: (-x[0], -x[1]))
         return np.array([-i for _, i in heap], np.int64), np.array([s for s, _ in heap], float)
 
@@ -201,6 +223,7 @@ class Shard:
         """(ids, scores) of each query's best documents with a positive score that reaches its floor; ties by the smaller id.
 
         ``queries``: positions in the asked terms, and weights. A floor is a score that ``top`` documents are known to reach.
+        What sparse terms add is summed for all documents. A range's bound is the most of that in it, and the maxima of the frequent terms.
         Ranges are taken in rounds in order of their bounds; in a round, the queries that still need a range share its product.
         """
         short = [k for k, (terms, _) in enumerate(queries) if len(terms) <= SHORT]
@@ -210,47 +233,43 @@ class Shard:
             for k, got in zip(rest, self.search([queries[k] for k in rest], floors[rest], top) if rest else []):
                 out[k] = got
             return out
-        weight, sparse = np.zeros((len(queries), len(self.dense))), []
-        for k, (terms, w) in enumerate(queries):
-            at = self.dense_slot[terms]
-            weight[k, at[at >= 0]] = w[at >= 0]
-        bounds = weight @ self.column_max.T
-        for k, (terms, w) in enumerate(queries):
-            slot = self.slot[terms]
-            slot, w = slot[slot >= 0], w[slot >= 0]
-            a, b = self.slot_run[slot], self.slot_run[slot + 1]
-            runs, run_weight = spans(a, b), np.repeat(w, b - a)
-            if len(runs):
-                bounds[k] += np.bincount(self.run_range[runs], run_weight * self.run_max[runs], self.ranges)
-            sparse.append((runs, run_weight))
+        out = [(np.empty(0, np.int64), np.empty(0))] * len(queries)
+        for a in range(0, len(queries), AT_ONCE):
+            out[a : a + AT_ONCE] = self.ranged(queries[a : a + AT_ONCE], floors[a : a + AT_ONCE].copy(), top)
+        return out
+
+    def ranged(self, queries: list[tuple[np.ndarray, np.ndarray]], floors: np.ndarray, top: int) -> list[tuple[np.ndarray, np.ndarray]]:
+        terms, w = np.concatenate([x[0] for x in queries]), np.concatenate([x[1] for x in queries])
+        query = np.repeat(np.arange(len(queries)), [len(x[0]) for x in queries])
+        weight, at = np.zeros((len(queries), len(self.dense))), self.dense_slot[terms]
+        often = np.flatnonzero(at >= 0)
+        weight[query[often], at[often]] = w[often]
+        at = self.slot[terms]
+        seldom = np.flatnonzero(at >= 0)
+        at, n = at[seldom], self.ranges * BLOCK
+        first, end = self.slot_first[at], self.slot_first[at + 1]
+        posts = spans(first, end)
+        score = np.bincount(self.doc[posts] + np.repeat(query[seldom] * n, end - first), self.gain[posts] * np.repeat(w[seldom], end - first), len(queries) * n).reshape(len(queries), self.ranges, BLOCK)
+        bounds = weight @ self.column_max.T + score.max(2)
         rank = np.argsort(np.argsort(-bounds, axis=1, kind="stable"), axis=1, kind="stable")
-        floors, out = floors.copy(), [(np.empty(0, np.int64), np.empty(0)) for _ in queries]
+        out = [(np.empty(0, np.int64), np.empty(0)) for _ in queries]
         done, step = 0, 4
         while done < self.ranges:
             live = (rank >= done) & (rank < done + step) & (bounds > 0) & (bounds >= floors[:, None] - SLACK)
-            some = np.flatnonzero(live.any(1))
-            row = np.full(len(queries), -1, np.int64)
-            row[some] = np.arange(len(some))
-            got = np.zeros((len(some), self.ranges * BLOCK))
             for r in np.flatnonzero(live.any(0)):
                 ks = np.flatnonzero(live[:, r])
-                got[row[ks], r * BLOCK : (r + 1) * BLOCK] = weight[ks] @ self.column[r * BLOCK : (r + 1) * BLOCK].T
-            for k in some:
-                runs, run_weight = sparse[k]
-                hit = live[k, self.run_range[runs]]
-                mine = got[row[k]]
-                if hit.any():
-                    r = runs[hit]
-                    f, e = self.run_first[r], self.run_end[r]
-                    posts = spans(f, e)
-                    mine += np.bincount(self.doc[posts], self.gain[posts] * np.repeat(run_weight[hit], e - f), len(mine))
-                found = np.flatnonzero(mine > max(0.0, floors[k] - SLACK))
-                if len(found):
-                    ids, scores = np.concatenate([out[k][0], self.ids[found]]), np.concatenate([out[k][1], mine[found]])
-                    best = np.lexsort((ids, -scores))[:top]
-                    out[k] = ids[best], scores[best]
-                    if len(best) == top:
-                        floors[k] = max(floors[k], scores[best[-1]])
+                score[ks, r] += weight[ks] @ self.column[r * BLOCK : (r + 1) * BLOCK].T
+            k, r = np.nonzero(live)
+            mine = score[k, r]
+            i, d = np.nonzero(mine > np.maximum(0.0, floors - SLACK)[k, None])
+            ids, scores, first = self.ids[r[i] * BLOCK + d], mine[i, d], np.searchsorted(k[i], np.arange(len(queries) + 1))
+            for k in np.flatnonzero(first[1:] > first[:-1]):
+                found = slice(first[k], first[k + 1])
+                mine_ids, mine_scores = np.concatenate([out[k][0], ids[found]]), np.concatenate([out[k][1], scores[found]])
+                best = np.lexsort((mine_ids, -mine_scores))[:top]
+                out[k] = mine_ids[best], mine_scores[best]
+                if len(best) == top:
+                    floors[k] = max(floors[k], mine_scores[best[-1]])
             done += step
             step *= 8
         return out
@@ -328,10 +347,10 @@ def search(docs: DataFrame, queries: DataFrame, top: int = TOP, doc_id: str = "d
             distinct, ask = sent_queries.value
             # the best rows in this task so far: the last score is a floor for its other shards
             best = [(np.empty(0, np.int64), np.empty(0))] * len(ask)
-            floors = np.zeros(len(ask))
+            floors, queries = np.zeros(len(ask)), [x[1:] for x in ask]
             for batch in batches:
                 for row in batch.to_dict("records"):
-                    for k, (ids, scores) in enumerate(Shard(row, mean, distinct).search([x[1:] for x in ask], floors, top)):
+                    for k, (ids, scores) in enumerate(Shard(row, mean, distinct).search(queries, floors, top)):
                         if len(ids):
                             ids, scores = np.concatenate([best[k][0], ids]), np.concatenate([best[k][1], scores])
                             order = np.lexsort((ids, -scores))[:top]

@@ -92,6 +92,25 @@ def test_pruning_skips_ranges(monkeypatch):
     assert [len(x[0]) for x in shard.search([(np.arange(2), weights)], np.array([scores[0] + 1]), 1)] == [0]
 
 
+def test_queries_are_summed_together(monkeypatch):
+    """A step of a shard's search serves many queries; lists that no longer fit are made again."""
+    monkeypatch.setattr(m, "BLOCK", 8)
+    rng = random.Random(3)
+    texts = [" ".join(rng.choices([f"w{j}" for j in range(300)], k=rng.choice((5, 40)))) for _ in range(150)]
+    made = m.Terms()
+    asked = np.unique(np.concatenate([made(t)[0] for t in texts]))
+    queries = [(np.searchsorted(asked, a), n * 1.0) for a, n in map(made, texts)]
+    row = next(m.build([pd.DataFrame(list(enumerate(texts)), columns=["doc_id", "text"])])).iloc[0]
+    calls, real = [], m.spans
+    monkeypatch.setattr(m, "spans", lambda a, b: calls.append(1) or real(a, b))
+    found = m.Shard(row, 20.0, asked).search(queries, np.zeros(150), 5)
+    assert len(calls) <= 10
+    monkeypatch.setattr(m, "AT_ONCE", 1)
+    monkeypatch.setattr(m, "LISTED", 10)
+    for k, ((ids, scores), (_, want)) in enumerate(zip(found, m.Shard(row, 20.0, asked).search(queries, np.zeros(150), 5))):
+        assert k in ids and np.allclose(scores, want)  # documents of equal scores may change places
+
+
 def test_empty_tables_and_unknown_words(spark, docs_df):
     none = docs_df.limit(0)
     assert m.search(none, docs_df).count() == 0 and m.search(docs_df, none).count() == 0
