@@ -141,18 +141,25 @@ def xml_schemas(spark, d):
     return shown(schemas.convert_contents(files(spark, d, "x{k}.xsd", _XML), "xsd"))
 
 
-_ECHO = "import sys; k = sys.stdin.read().split('urn:s')[1].split('#')[0]; print(f'<urn:s{k}#Made> a <urn:tool#Class> .')"
+_ECHO = """import sys
+i, o = sys.stdin.buffer, sys.stdout.buffer
+for n in i:
+    k = i.read(int(n)).split(b'urn:s')[1].split(b'#')[0]
+    made = b'<urn:s' + k + b'#Made> a <urn:tool#Class> .'
+    o.write(b'%d\\n%s' % (len(made), made))
+    o.flush()
+"""
 
 
 @query(f"SELECT 'urn:s' || s_suppkey || '#Made' AS s, '{TYPE}' AS p, CASE WHEN s_suppkey % 2 = 0 THEN 'urn:tool#Class' ELSE '{CLASS}' END AS o FROM supplier")
 def external_converter(spark, d):
-    """A tool of one's own for XML Schema, which reads a file and writes RDF; where it fails, the built-in converter steps in."""
+    """A tool of one's own for XML Schema, which stays, reads file after file and writes RDF; where it fails, the built-in converter steps in."""
     import sys
 
     text = '<xs:schema xmlns:xs="http://www.w3.org/2001/XMLSchema" targetNamespace="urn:s{k}#"><xs:complexType name="Made"/></xs:schema>'
     all_ = files(spark, d, "x{k}.xsd", text)
     even = F.regexp_extract("path", "x([0-9]+)", 1).cast("int") % 2 == 0
-    made = schemas.convert_contents(all_.where(even), "xsd", command=[sys.executable, "-c", _ECHO])
+    made = schemas.convert_contents(all_.where(even), "xsd", command=[sys.executable, "-c", _ECHO], stays=True)
     own = schemas.convert_contents(all_.where(~even), "xsd", command=["no-such-tool"])
     return made.unionByName(own).where(F.col("p") == TYPE).where(F.col("s").endswith("#Made")).select("s", "p", "o")
 

@@ -1,4 +1,5 @@
 import json
+import sys
 
 import pytest
 from hypothesis import given
@@ -109,6 +110,47 @@ def test_many_files(spark, tmp_path):
     assert sc.report({"object_properties": 2}).endswith("Object Properties: 2\n")
 
 
+def test_files_for_a_tool_are_dealt_to_all_cores(spark):
+    tool = [sys.executable, "-c", "import os, sys; sys.stdin.read(); print(f'<urn:by#{os.getppid()}> <urn:p> <urn:o> .')"]
+    files = spark.createDataFrame([(f"x{i}.xsd", f"<!-- {i} -->".encode()) for i in range(64)], "path string, content binary").coalesce(1)
+    assert sc.convert_contents(files, "xsd", command=tool).where("p = 'urn:p'").count() > 1  # asked by several workers
+
+
+STAYING = """import sys, os, time
+i, o = sys.stdin.buffer, sys.stdout.buffer
+for n in i:
+    x = i.read(int(n))
+    if b'name="dies"' in x: sys.exit(1)
+    if b'name="late"' in x: time.sleep(60)
+    made = b'cannot\\n' if b'name="not"' in x else b'<urn:by#%d> a <urn:x> .' % os.getpid()
+    o.write(made if made[:1] == b'c' else b'%d\\n%s' % (len(made) + (b'name="cut"' in x), made)); o.flush()
+    if b'name="cut"' in x: sys.exit(0)
+"""
+
+
+def test_a_tool_that_stays(spark):
+    text = lambda name: f'<xs:schema xmlns:xs="http://www.w3.org/2001/XMLSchema" targetNamespace="urn:s#"><xs:complexType name="{name}"/></xs:schema>'
+    command = [sys.executable, "-c", STAYING]
+    tool = sc.StayingTool(command, 2)
+    ask = lambda name: {r[0] for r in sc.converter("xsd", command=command, stays=True, tool=tool).convert("f", text(name).encode()).rows if r[1] == TYPE and r[0][:4] == "urn:"}
+    first = ask("a")
+    assert first == ask("b") == ask("é" * 100_000) and "urn:by#" in min(first)  # one process
+    assert "urn:s#not" in ask("not") and ask("c") == first  # the built-in converter steps in
+    assert "urn:s#dies" in ask("dies") and (second := ask("d")) != first
+    assert "urn:s#late" in ask("late") and (third := ask("e")) != second
+    assert "urn:s#cut" in ask("cut") and ask("f") != third
+    tool.close()
+    files = spark.createDataFrame([(f"x{i}.xsd", text(f"n{i}").encode()) for i in range(200)], "path string, content binary")
+    assert 0 < sc.convert_contents(files, "xsd", command=command, stays=True).where("o = 'urn:x'").count() < 100  # a process a task
+    assert rows("xsd", text("a"), command=command, stays=True)[1] is not None
+
+
+def test_a_tool_that_is_missing_starts_no_process(monkeypatch):
+    monkeypatch.setattr(sc.subprocess, "run", lambda *a, **k: pytest.fail("started"))
+    got, _ = rows("xsd", '<xs:schema xmlns:xs="http://www.w3.org/2001/XMLSchema" targetNamespace="urn:s#"><xs:complexType name="T"/></xs:schema>', command=["no-such-tool"])
+    assert ("urn:s#T", TYPE, CLASS) in got
+
+
 def test_deep_and_circular_groups_and_types():
     depth = 120
     groups = "".join(f'<xs:attributeGroup name="g{i}"><xs:attributeGroup ref="g{i + 1}"/></xs:attributeGroup>' for i in range(depth))
